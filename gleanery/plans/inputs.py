@@ -46,3 +46,41 @@ def sql_tokens(text: str, pattern: str = SQL_UNICODE, min_length: int = 2) -> st
         f"list_filter(string_split_regex(lower({text}), '{pattern}'), "
         f"lambda t: length(t) >= {min_length})"
     )
+
+
+# Bad-word patterns over the test corpus, and their plurals for the SQL side.
+BAD_WORDS = ["rewh", "orre", "hehely", "thatin", "que+l", "inoran"]
+BAD_PLURALS = ["rewhs", "orres", "hehelies", "thatins", "que+ls", "inorans"]
+
+# A valence lexicon over the test corpus.
+VALENCE = {
+    "ing": 1.4, "tion": 1.9, "ed": -1.1, "st": -2.2, "ha": 0.9, "thatin": 2.7, "orre": -1.8,
+    "rewh": -2.9, "que": 0.6, "er": -0.4, "it": 1.1, "auf": -0.7, "ment": 1.3, "ch": -1.6,
+}
+# Corpus words that play the part of the modifiers.
+EXTRA_NEGATIONS = ["re", "un", "est"]
+EXTRA_STRENGTHENERS = ["of", "de", "die"]
+EXTRA_DAMPENERS = ["an", "der"]
+EXTRA_IDIOMS = {"the it": -1.2, "of the it": 1.5, "it is": 2.1, "and the": 0.7}
+
+
+def bad_words(spark: SparkSession) -> DataFrame:
+    return words_frame(spark, BAD_WORDS)
+
+
+def valence_lexicon(spark: SparkSession) -> DataFrame:
+    return small_frame(spark, word=list(VALENCE), measure=list(VALENCE.values()))
+
+
+def sql_values(pairs: dict[str, float]) -> str:
+    return ", ".join(f"('{word}', {value}::DOUBLE)" for word, value in pairs.items())
+
+
+MERGED_SQL = "coalesce(summary, '') || ' ' || coalesce(reviewText, '')"
+# RE2 has no Unicode word boundary; this is the class of characters outside words.
+SQL_OUTSIDE = r"[^\p{L}\p{M}\p{Nd}\p{Pc}]"
+
+
+def sql_profane(text: str) -> str:
+    words = "|".join(sorted(BAD_WORDS + BAD_PLURALS))
+    return f"regexp_matches({text}, '(?i)(^|{SQL_OUTSIDE})(?:{words})($|{SQL_OUTSIDE})')"

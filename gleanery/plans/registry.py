@@ -1,8 +1,8 @@
 """All registered queries, gathered from the plan modules."""
 
-from gleanery.plans import terms
+from gleanery.plans import moderation, sentiment, terms
 
-MODULES = [terms]
+MODULES = [terms, moderation, sentiment]
 
 
 def queries() -> dict:
