@@ -1,8 +1,8 @@
 """All registered queries, gathered from the plan modules."""
 
-from gleanery.plans import moderation, sentiment, streams, terms
+from gleanery.plans import features, moderation, sentiment, streams, terms
 
-MODULES = [terms, moderation, sentiment, streams]
+MODULES = [terms, features, moderation, sentiment, streams]
 
 
 def queries() -> dict:
