@@ -1,8 +1,8 @@
 """All registered queries, gathered from the plan modules."""
 
-from gleanery.plans import features, moderation, normal, sentiment, streams, terms
+from gleanery.plans import corpus, features, moderation, normal, sentiment, streams, terms
 
-MODULES = [terms, features, moderation, sentiment, streams, normal]
+MODULES = [terms, features, moderation, sentiment, streams, normal, corpus]
 
 
 def queries() -> dict:

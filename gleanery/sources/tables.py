@@ -1,11 +1,28 @@
 """Parquet tables, and the review view over `documents`."""
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Tables of texts, whose rows are worth far more work than their bytes suggest.
+TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a table whose files cannot be split far enough.
+
+    A table with at least as many splits as there are cores is left alone, so a large one
+    is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def source_id(key: Column) -> Column:
@@ -29,7 +46,6 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review_view(table(spark, sf_dir, "documents"))
 
 
-# Split points of the landing zone and checkpoints must be visible to every executor.
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a private one is made only for a local session without any."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,8 +53,6 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
-    import tempfile
-
     return tempfile.mkdtemp(prefix="gleanery-")
 
 
