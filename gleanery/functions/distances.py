@@ -37,7 +37,7 @@ def masi_distance(a: Column, b: Column) -> Column:
 
 
 def letters(word: Column) -> Column:
-    return F.array_distinct(F.filter(F.split(word, ""), lambda c: c != ""))
+    return F.array_remove(F.array_distinct(F.split(word, "")), "")
 
 
 def jaro_similarity(a: Column, b: Column) -> Column:

@@ -175,8 +175,10 @@ def _neighbours(spark, sf_dir):
 
 def word_distances(spark, sf_dir):
     a, b = F.col("w1"), F.col("w2")
-    la, lb = distances.letters(a), distances.letters(b)
-    return _neighbours(spark, sf_dir).select(
+    la, lb = F.col("letters1"), F.col("letters2")
+    return _neighbours(spark, sf_dir).withColumns(
+        {"letters1": distances.letters(a), "letters2": distances.letters(b)}
+    ).select(
         "w1",
         "w2",
         distances.edit_distance(a, b).cast("long").alias("edit"),
@@ -427,6 +429,15 @@ guess AS (SELECT doc_id, language AS guess FROM dist
           QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY found DESC, d, language) = 1),
 judged AS (SELECT lang, guess FROM guess JOIN documents USING (doc_id))""" % PROFILE_SIZE
 
+# DuckDB measures words in bytes, so letters beyond ASCII are first given one byte each.
+_WIDE = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
+_NARROW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456"
+
+
+def _bytes(word: str) -> str:
+    return f"translate({word}, '{_WIDE}', '{_NARROW}')"
+
+
 _NEIGHBOURS = f"""WITH l AS (SELECT {_LIST} AS ws FROM documents),
 pairs AS (SELECT DISTINCT ws[i] AS w1, ws[i + 1] AS w2 FROM l, unnest(range(1, len(ws))) t(i)),
 sets AS (SELECT w1, w2, list_distinct(string_split(w1, '')) AS a, list_distinct(string_split(w2, '')) AS b FROM pairs),
@@ -510,10 +521,16 @@ SQL = {
                         CASE WHEN support > 0 THEN tp / support::DOUBLE ELSE 0.0 END AS recall FROM c)
         SELECT class, tp, support, predicted, round(precision, 9) AS precision, round(recall, 9) AS recall,
                round(CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END, 9) AS f1 FROM p""",
-    "word_distances": f"""{_NEIGHBOURS} SELECT w1, w2, levenshtein(w1, w2) AS edit,
+    "word_distances": f"""{_NEIGHBOURS} SELECT w1, w2, levenshtein({_bytes('w1')}, {_bytes('w2')}) AS edit,
         CASE WHEN w1 = w2 THEN 0.0 ELSE 1.0 END::DOUBLE AS different, round((n_either - n_both) / n_either::DOUBLE, 9) AS jaccard,
         round(1 - n_both / n_either::DOUBLE * CASE WHEN na = nb AND na = n_both THEN 1.0 WHEN n_both = least(na, nb) THEN 0.67
               WHEN n_both > 0 THEN 0.33 ELSE 0.0 END, 9) AS masi FROM sizes""",
+    "word_similarities": f"""{_NEIGHBOURS} SELECT w1, w2, round(j, 9) AS jaro, round(j + l * 0.1::DOUBLE * (1 - j), 9) AS jaro_winkler
+        FROM (SELECT *, CASE WHEN length(w1) = 1 AND length(w2) = 1 THEN 0.0::DOUBLE
+                ELSE jaro_similarity({_bytes('w1')}, {_bytes('w2')}) END AS j, CASE
+                WHEN length(w1) >= 4 AND left(w2, 4) = left(w1, 4) THEN 4 WHEN length(w1) >= 3 AND left(w2, 3) = left(w1, 3) THEN 3
+                WHEN length(w1) >= 2 AND left(w2, 2) = left(w1, 2) THEN 2 WHEN left(w2, 1) = left(w1, 1) THEN 1 ELSE 0 END AS l
+              FROM sizes)""",
     "regexp_stems": f"""SELECT DISTINCT word, CASE WHEN length(word) < 4 THEN word
         ELSE regexp_replace(word, 'ing$|s$|e$|able$', '', 'g') END AS stem
         FROM (SELECT unnest({_LIST}) AS word FROM documents)""",
