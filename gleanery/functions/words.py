@@ -9,34 +9,43 @@ CLOSERS = "[\"'”’)\\]]*"
 BLANKS = "[\\s\\x1c-\\x1f]"
 
 
-def sentences(text: Column, abbreviations: list[str] = ABBREVIATIONS) -> Column:
-    """Cut after . ! or ? (and closing quotes or brackets) before white space."""
+# Stands between sentences while a text is rewritten; white space to no rule but the last split.
+MARK = "\x1e"
+
+
+def _marked(text: Column, abbreviations: list[str]) -> Column:
+    """The text with a mark in place of the white space after every sentence."""
     short = "|".join(a.replace(".", "\\.") for a in abbreviations)
     kept = F.regexp_replace(
-        F.coalesce(text, F.lit("")), f"(?i)(^|[^\\p{{L}}])({short})\\.", "$1$2\x1d"
+        F.trim(F.coalesce(text, F.lit(""))), f"(?i)(^|[^\\p{{L}}])({short})\\.", "$1$2\x1d"
     )
-    cut = F.regexp_replace(kept, f"(?U)([.!?]{CLOSERS}){BLANKS}+", "$1\x1e")
-    parts = F.transform(F.split(cut, "\x1e"), lambda s: F.trim(F.translate(s, "\x1d", ".")))
-    return F.filter(parts, lambda s: s != "")
+    cut = F.regexp_replace(kept, f"(?U)([.!?]{CLOSERS}){BLANKS}+", f"$1{MARK}")
+    return F.translate(cut, "\x1d", ".")
 
 
-# Ordered rewrites that put blanks around tokens.
+def sentences(text: Column, abbreviations: list[str] = ABBREVIATIONS) -> Column:
+    """Cut after . ! or ? (and closing quotes or brackets) before white space."""
+    return F.filter(F.split(_marked(text, abbreviations), MARK), lambda s: s != "")
+
+
+# Ordered rewrites that put blanks around tokens.  They see all sentences of a
+# text at once, so the start and the end of a sentence are a mark or an end of the text.
 OPENING_QUOTES = [
     ("([«“‘„]|[`]+)", " $1 "),
-    ('^"', "``"),
+    (f'(^|{MARK})"', "$1``"),
     ("(``)", " $1 "),
     ("([ (\\[{<])(\"|'{2})", "$1 `` "),
     ("(?iU)(')(?!re|ve|ll|m|t|s|d|n)(\\w)\\b", "$1 $2"),
 ]
 PUNCTUATION = [
-    ("(?U)([^.])(\\.)([\\])}>\"'»”’ ]*)\\s*$", "$1 $2 $3 "),
-    ("(?U)([:,])([^\\d])", " $1 $2"),
-    ("([:,])$", " $1 "),
+    (f"(?U)([^.{MARK}])(\\.)([\\])}}>\"'»”’ ]*)\\s*(?={MARK}|$)", "$1 $2 $3 "),
+    (f"(?U)([:,])([^\\d{MARK}])", " $1 $2"),
+    (f"([:,])(?={MARK}|$)", " $1 "),
     ("\\.{2,}", " $0 "),
     ("[;@#$%&]", " $0 "),
-    ("(?U)([^.])(\\.)([\\])}>\"']*)\\s*$", "$1 $2$3 "),
+    (f"(?U)([^.{MARK}])(\\.)([\\])}}>\"']*)\\s*(?={MARK}|$)", "$1 $2$3 "),
     ("[?!]", " $0 "),
-    ("([^'])' ", "$1 ' "),
+    (f"([^'{MARK}])' ", "$1 ' "),
     ("[*]", " $0 "),
 ]
 BRACKETS = [("[\\]\\[(){}<>]", " $0 ")]
@@ -46,8 +55,8 @@ CLOSING_QUOTES = [
     ("''", " '' "),
     ('"', " '' "),
     ("(?U)\\s+", " "),
-    ("([^' ])('[sS]|'[mM]|'[dD]|') ", "$1 $2 "),
-    ("([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 "),
+    (f"([^' {MARK}])('[sS]|'[mM]|'[dD]|') ", "$1 $2 "),
+    (f"([^' {MARK}])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 "),
 ]
 CONTRACTIONS = [
     ("(?iU)\\b(can)(not)\\b", " $1 $2 "),
@@ -73,18 +82,21 @@ def _rewrite(text: Column, rules: list[tuple[str, str]]) -> Column:
     return text
 
 
-def sentence_words(sentence: Column, name_brackets: bool = False) -> Column:
-    """The tokens of one sentence."""
-    names = BRACKET_NAMES if name_brackets else []
-    text = _rewrite(sentence, OPENING_QUOTES + PUNCTUATION + BRACKETS + names + DASHES)
-    text = F.concat(F.lit(" "), text, F.lit(" "))
-    text = _rewrite(text, CLOSING_QUOTES + CONTRACTIONS)
-    return F.filter(F.split(text, f"(?U){BLANKS}+"), lambda w: w != "")
-
+def words(
+    text: Column, abbreviations: list[str] = ABBREVIATIONS, name_brackets: bool = False
+) -> Column:
+    """The tokens of a text, sentence by sentence, in order.
 
-def words(text: Column, abbreviations: list[str] = ABBREVIATIONS) -> Column:
-    """The tokens of a text, sentence by sentence, in order."""
-    return F.flatten(F.transform(sentences(text, abbreviations), lambda s: sentence_words(s)))
+    Every rewrite runs once over the whole text rather than once per sentence.
+    """
+    names = BRACKET_NAMES if name_brackets else []
+    marked = _rewrite(
+        _marked(text, abbreviations), OPENING_QUOTES + PUNCTUATION + BRACKETS + names + DASHES
+    )
+    spaced = F.concat(F.lit(" "), F.regexp_replace(marked, MARK, f" {MARK} "), F.lit(" "))
+    return F.array_remove(
+        F.split(_rewrite(spaced, CLOSING_QUOTES + CONTRACTIONS), f"(?U){BLANKS}+"), ""
+    )
 
 
 def pattern_tokens(text: Column, pattern: str) -> Column:

@@ -67,11 +67,22 @@ class Rules:
 
 
 def words(text: Column) -> Column:
-    """Blank-separated words of two characters or more, freed of a mark at one end."""
-    parts = F.filter(F.split(text, r"(?U)[\s\x1c-\x1f]+"), lambda w: F.length(w) > 1)
-    plain = f"([^{PUNCTUATION}]{{2,}})"
-    edges = f"^(?:(?:{EDGE_MARKS}){plain}|{plain}(?:{EDGE_MARKS}))$"
-    return F.transform(parts, lambda w: F.regexp_replace(w, edges, "$1$2"))
+    """Blank-separated words of two characters or more, freed of a mark at one end.
+
+    The marks are taken off in one pass over the text, before it is split.
+    """
+    plain = f"([^{PUNCTUATION}\\s\\x1c-\\x1f]{{2,}})"
+    edge = r"(?U)(?<=^|[\s\x1c-\x1f])"
+    stripped = F.regexp_replace(
+        text, f"{edge}(?:(?:{EDGE_MARKS}){plain}|{plain}(?:{EDGE_MARKS}))(?=$|[\\s\\x1c-\\x1f])", "$1$2"
+    )
+    return F.filter(F.split(stripped, r"(?U)[\s\x1c-\x1f]+"), lambda w: F.length(w) > 1)
+
+
+def _among(column: str, listed: list[str], lower: bool = True) -> Column:
+    """Membership in a configured list, written as one expression text: cheap to build and plan."""
+    quoted = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in listed)
+    return F.expr(f"lower({column}) IN ({quoted})" if lower else f"{column} IN ({quoted})")
 
 
 def _upper(word: Column) -> Column:
@@ -134,11 +145,11 @@ def _valence(rules: Rules) -> list[tuple[str, Column]]:
     v = F.col("v")
 
     def negates(c: str) -> Column:
-        return low[c].isin(rules.negations) | low[c].contains("n't")
+        return _among(c, rules.negations) | low[c].contains("n't")
 
     def boost(c: str) -> Column:
-        base = F.when(low[c].isin(rules.strengtheners), BOOST).when(
-            low[c].isin(rules.dampeners + rules.dampening_pairs), -BOOST
+        base = F.when(_among(c, rules.strengtheners), BOOST).when(
+            _among(c, rules.dampeners + rules.dampening_pairs), -BOOST
         )
         signed = F.when(v < 0, -base).otherwise(base)
         loud = _upper(F.col(c)) & mixed
@@ -244,7 +255,7 @@ def polarity_scores(
     for name, column in _valence(rules):
         spot = spot.withColumn(name, column)
     kind_of = F.coalesce((F.lower("w") == "kind") & (F.lower("n1") == "of"), F.lit(False))
-    silent = F.col("w").isNull() | F.lower("w").isin(boosters) | kind_of
+    silent = F.col("w").isNull() | _among("w", boosters) | kind_of
     spot = spot.withColumn("v", F.when(silent, 0.0).otherwise(F.col("v")))
 
     # Occurrences before the first "but" weigh half, those after it one and a half.

@@ -1,6 +1,5 @@
 """Registered queries: sentences, words, tags, lemmas and whole normalised reviews."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanery.functions import words as w
@@ -54,18 +53,21 @@ def merged_expressions(spark, sf_dir):
 
 def _tagged(spark, sf_dir):
     """A tagged corpus derived from the texts: endings decide, but never after an article."""
-    rows = _documents(spark, sf_dir).select(
-        "doc_id", F.posexplode(letter_words(F.col("text"))).alias("pos", "word")
+    lists = _documents(spark, sf_dir).select("doc_id", letter_words(F.col("text")).alias("ws"))
+    spots = F.transform(
+        "ws",
+        lambda word, i: F.struct(
+            i.alias("pos"), word.alias("word"), F.get(F.col("ws"), i - 1).alias("before")
+        ),
     )
-    before = F.lag("word").over(Window.partitionBy("doc_id").orderBy("pos"))
     ending = (
-        F.when(F.coalesce(before, F.lit("")).isin(ARTICLES), "NN")
+        F.when(F.coalesce("before", F.lit("")).isin(ARTICLES), "NN")
         .when(F.col("word").endswith("ly"), "RB")
         .when(F.col("word").rlike("(ed|en)$"), "VB")
         .when(F.col("word").rlike("(le|er)$"), "JJ")
         .otherwise("NN")
     )
-    return rows.withColumn("tag", ending)
+    return lists.select("doc_id", F.inline(spots)).select("doc_id", "pos", "word", ending.alias("tag"))
 
 
 def tag_model(spark, sf_dir):
