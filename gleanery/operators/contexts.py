@@ -68,7 +68,7 @@ def concordance(
     half = (width - len(text) - 2) // 2
     around = width // 4
     n = len(phrase)
-    rows = texts.select(key, tokens.alias("_t")).where(F.array_contains("_t", phrase[0]))
+    rows = texts.select(key, tokens.alias("_t"))
     last = F.size("_t") - n
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
 

@@ -3,21 +3,18 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleanery.functions.tokenize import letter_words
-
 START, END = "<", ">"
 
 
 def trigrams(text: Column) -> Column:
-    """Letter trigrams of every word with its end marks."""
-
-    def of_word(word: Column) -> Column:
-        marked = F.concat(F.lit(START), word, F.lit(END))
-        return F.transform(
-            F.sequence(F.lit(1), F.length(marked) - 2), lambda i: F.substring(marked, i, F.lit(3))
-        )
+    """Letter trigrams of every word with its end marks.
 
-    return F.flatten(F.transform(letter_words(text), of_word))
+    The words stand side by side as <one><two>; a trigram is any three characters with no end
+    mark before its last place and no start mark after its first.
+    """
+    words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}]+", END + START)
+    marked = F.concat(F.lit(START), words, F.lit(END))
+    return F.regexp_extract_all(marked, F.lit("(?=([^>][^<>][^<]))"), F.lit(1))
 
 
 def profiles(labelled: DataFrame, text: str = "text", language: str = "lang", size: int = 1000) -> DataFrame:
@@ -37,11 +34,14 @@ def profiles(labelled: DataFrame, text: str = "text", language: str = "lang", si
 
 def ranked_trigrams(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     """A text's distinct trigrams in order of frequency; counted and ranked within its row."""
-    ordered = documents.select(key, F.sort_array(trigrams(F.col(text))).alias("_t")).where("size(_t) > 0")
-    starts = F.filter(
-        F.sequence(F.lit(0), F.size("_t") - 1),
-        lambda i: (i == 0) | (F.get(F.col("_t"), i) != F.get(F.col("_t"), i - 1)),
-    )
+    ordered = documents.select(key, F.sort_array(trigrams(F.col(text))).alias("_t"))
+    starts = F.when(
+        F.size("_t") > 0,
+        F.filter(
+            F.sequence(F.lit(0), F.size("_t") - 1),
+            lambda i: (i == 0) | (F.get(F.col("_t"), i) != F.get(F.col("_t"), i - 1)),
+        ),
+    ).otherwise(F.array().cast("array<int>"))
     placed = ordered.withColumn("_s", starts)
     runs = F.transform(
         "_s",
