@@ -190,3 +190,29 @@ def perplexity(scored: DataFrame, models: list[str], weight: str = "n") -> DataF
         (F.sum("bits").cast("double") / F.sum("n")).alias("entropy")
     )
     return sums.withColumn("perplexity", F.pow(F.lit(2.0), "entropy"))
+
+
+def trigram_discount(asked: DataFrame, trigrams: DataFrame, discount: float = 0.75) -> DataFrame:
+    """Kneser-Ney probability of each asked trigram (w1, w2, w3) from a table of trigram counts.
+
+    A seen trigram loses the discount; an unseen one shares what its bigram saved, by how many
+    words stand before (w2, w3); otherwise it is 0.
+    """
+    pairs = trigrams.groupBy("w1", "w2").agg(F.sum("c").alias("n_pair"), F.count("*").alias("after"))
+    before = trigrams.groupBy("w2", "w3").agg(F.count("*").alias("before"))
+    holding = trigrams.groupBy("w2").agg(F.count("*").alias("holding"))
+    rows = (
+        asked.join(trigrams, ["w1", "w2", "w3"], "left")
+        .join(pairs, ["w1", "w2"], "left")
+        .join(before, ["w2", "w3"], "left")
+        .join(holding, "w2", "left")
+    )
+    left_over = F.col("after") * F.lit(discount) / F.col("n_pair")
+    others = F.col("holding") - F.col("after")
+    shared = F.when(others > 0, left_over * (F.col("before") / others))
+    p = (
+        F.when(F.col("c").isNotNull(), (F.col("c") - F.lit(discount)) / F.col("n_pair"))
+        .when(F.col("n_pair").isNotNull() & F.col("before").isNotNull(), shared)
+        .otherwise(0.0)
+    )
+    return rows.select(*asked.columns, p.alias("p"))

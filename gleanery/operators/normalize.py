@@ -67,9 +67,9 @@ def normal_forms(
     Tags depend on the word alone, so all the work is on distinct tokens.
     """
     distinct = (
-        tokens.where(F.col("token").rlike(r"^\p{L}+$"))
-        .select("token")
+        tokens.select("token")
         .distinct()
+        .where(F.col("token").rlike(r"^\p{L}+$"))
         .withColumn("word", F.lower("token"))
         .join(stop_words.select("word"), "word", "left_anti")
     )
@@ -84,7 +84,9 @@ def normal_forms(
 def normalized(documents: DataFrame, key: str, text: str = "text", **models: DataFrame) -> DataFrame:
     """key and `tokens`: lemmas in text order, doubles kept; an empty list where nothing is left."""
     rows = token_rows(documents, key, text)
-    forms = normal_forms(rows, **models)
+    # Doubles within a text go before anything is shuffled.
+    distinct = documents.select(F.explode(F.array_distinct(words(F.col(text)))).alias("token"))
+    forms = normal_forms(distinct, **models)
     lists = rows.join(forms, "token").groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct("pos", "lemma"))).alias("found")
     )

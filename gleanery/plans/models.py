@@ -13,6 +13,7 @@ from gleanery.operators import (
     language_id,
     learners,
     ngrams,
+    stemming,
     textpairs,
 )
 from gleanery.sources.tables import table
@@ -203,6 +204,34 @@ def regexp_stems(spark, sf_dir):
     return words.select("word", stems.regexp_stem(F.col("word"), min_length=4).alias("stem"))
 
 
+def porter_stems(spark, sf_dir):
+    words = _documents(spark, sf_dir).select(F.explode(F.array_distinct(_tokens())).alias("word")).distinct()
+    return stemming.porter_stems(words)
+
+
+def swap_distances(spark, sf_dir):
+    """Edit distance with swaps, between neighbouring words of the conversations."""
+    pairs = ngrams.ngrams(table(spark, sf_dir, "conversations"), _tokens(), 2).distinct()
+    return pairs.select(
+        "w1",
+        "w2",
+        distances.costed_edit_distance(F.col("w1"), F.col("w2"), 1, True).alias("edit"),
+    )
+
+
+def trigram_discount(spark, sf_dir):
+    """What the user says, under the discounted trigrams of the assistant."""
+    def counts(role):
+        grams = ngrams.ngrams(_turns(spark, sf_dir, role), _tokens(), 3)
+        return grams.groupBy("w1", "w2", "w3").agg(F.count("*").alias("c"))
+
+    asked = counts("user").select("w1", "w2", "w3").unionByName(
+        counts("assistant").select("w1", "w2", "w3")
+    ).distinct()
+    found = langmodel.trigram_discount(asked, counts("assistant"))
+    return found.select("w1", "w2", "w3", F.round("p", 9).alias("p"))
+
+
 def _presence(spark, sf_dir):
     terms = features.document_terms(_documents(spark, sf_dir), ["doc_id", "lang"], _tokens())
     wanted = bayes.feature_terms(terms, N_FEATURES).select("term")
@@ -277,7 +306,8 @@ QUERIES = {
     for f in (
         lm_scores, lm_trigram_scores, lm_perplexity, corpus_bleu, corpus_gleu, corpus_chrf, corpus_nist,
         annotator_pairs, annotator_agreement, rank_correlation, label_scores, language_profiles, langid,
-        confusion, class_scores, word_distances, word_similarities, regexp_stems, naive_bayes_model,
+        confusion, class_scores, word_distances, word_similarities, swap_distances, regexp_stems, porter_stems,
+        trigram_discount, naive_bayes_model,
         naive_bayes, maxent_confusion, tree_confusion, clusters_kmeans, clusters_mixture,
         clusters_hierarchical, event_fields, event_entities,
     )
@@ -453,7 +483,79 @@ seen AS (SELECT term, lang, count(*) AS c FROM present GROUP BY ALL),
 model AS (SELECT w.term, s.lang, log2((coalesce(c, 0) + 0.5::DOUBLE) / (n + CASE WHEN df < nn THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END)) AS log_p
           FROM wanted w CROSS JOIN sizes s CROSS JOIN total LEFT JOIN seen ON seen.term = w.term AND seen.lang = s.lang)"""
 
+def _porter_sql() -> str:
+    """The suffix rules as a chain of SQL steps, one per rule list."""
+    def cut(n: int) -> str:
+        return f"left(stem, length(stem) - {n})"
+
+    def has(pattern: str, text: str) -> str:
+        return f"regexp_matches({text}, '{pattern}')"
+
+    def chain(rules, condition=None) -> str:
+        out = []
+        for old, new in rules:
+            value = f"{cut(len(old))} || '{new}'"
+            if condition:
+                value = f"CASE WHEN {has(condition, cut(len(old)))} THEN {value} ELSE stem END"
+            out.append(f"WHEN stem LIKE '%{old}' THEN {value}")
+        return f"CASE {' '.join(out)} ELSE stem END"
+
+    s = stemming
+    rest = f"CASE WHEN stem LIKE '%ed' THEN {cut(2)} WHEN stem LIKE '%ing' THEN {cut(3)} END"
+    bare = "substr(stem, 2)"
+    last = []
+    for suffix in s.LAST:
+        allowed = has(s.MANY, cut(len(suffix)))
+        if suffix == "ion":
+            allowed += " AND " + has("[st]$", cut(3))
+        last.append(f"WHEN stem LIKE '%{suffix}' THEN CASE WHEN {allowed} THEN {cut(len(suffix))} ELSE stem END")
+    steps = [
+        f"CASE WHEN stem LIKE '%ies' AND length(stem) = 4 THEN {cut(1)} ELSE {chain(s.PLURAL)} END",
+        f"CASE WHEN stem LIKE '%ied' THEN CASE WHEN length(stem) = 4 THEN {cut(1)} ELSE {cut(2)} END "
+        f"WHEN stem LIKE '%eed' THEN CASE WHEN {has(s.SOME, cut(3))} THEN {cut(1)} ELSE stem END "
+        f"WHEN {has(s.VOWEL, rest)} THEN '+' || ({rest}) ELSE stem END",
+        f"CASE WHEN stem NOT LIKE '+%' THEN stem WHEN {has('(at|bl|iz)$', bare)} THEN {bare} || 'e' "
+        f"WHEN length(stem) > 2 AND right(stem, 1) = left(right(stem, 2), 1) AND right(stem, 1) NOT IN ('a','e','i','o','u') "
+        f"THEN CASE WHEN right(stem, 1) IN ('l', 's', 'z') THEN {bare} ELSE left({bare}, length(stem) - 2) END "
+        f"WHEN {has(s.ONE, bare)} AND {has(s.SHORT, bare)} THEN {bare} || 'e' ELSE {bare} END",
+        f"CASE WHEN stem LIKE '%y' AND length(stem) > 2 AND ({has('[^aeiouy]$', cut(1))} OR {has('[aeiou]y$', cut(1))}) "
+        f"THEN {cut(1)} || 'i' ELSE stem END",
+        f"CASE WHEN stem LIKE '%alli' AND {has(s.SOME, cut(4))} THEN {cut(2)} ELSE stem END",
+        f"CASE WHEN stem LIKE '%logi' THEN CASE WHEN {has(s.SOME, cut(3))} THEN {cut(1)} ELSE stem END "
+        f"ELSE {chain(s.DOUBLE, s.SOME)} END",
+        chain(s.DERIVED, s.SOME),
+        f"CASE {' '.join(last)} ELSE stem END",
+        f"CASE WHEN stem LIKE '%e' AND ({has(s.MANY, cut(1))} OR ({has(s.ONE, cut(1))} AND NOT {has(s.SHORT, cut(1))})) "
+        f"THEN {cut(1)} ELSE stem END",
+        f"CASE WHEN stem LIKE '%ll' AND {has(s.MANY, cut(1))} THEN {cut(1)} ELSE stem END",
+    ]
+    ctes = [f"words AS (SELECT DISTINCT unnest({_LIST}) AS word FROM documents)",
+            "p0 AS (SELECT word, regexp_replace(word, '^y', 'Y') AS stem FROM words)"]
+    for i, step in enumerate(steps):
+        ctes.append(f"p{i + 1} AS MATERIALIZED (SELECT word, CASE WHEN stem <> '' THEN {step} ELSE stem END AS stem FROM p{i})")
+    own = " ".join(f"WHEN '{w}' THEN '{t}'" for w, t in s.IRREGULAR.items())
+    return f"""WITH {', '.join(ctes)} SELECT word, CASE word {own}
+        ELSE CASE WHEN length(word) <= 2 THEN word ELSE lower(stem) END END AS stem FROM p{len(steps)}"""
+
+
+_TRIPLES = f"""WITH l AS (SELECT role, {_LIST} AS ws FROM conversations),
+t AS (SELECT role, ws[i] AS w1, ws[i + 1] AS w2, ws[i + 2] AS w3 FROM l, unnest(range(1, len(ws) - 1)) u(i)),
+g AS (SELECT w1, w2, w3, count(*) AS c FROM t WHERE role = 'assistant' GROUP BY ALL),
+asked AS (SELECT DISTINCT w1, w2, w3 FROM t WHERE role IN ('user', 'assistant')),
+pairs AS (SELECT w1, w2, sum(c) AS n, count(*) AS a FROM g GROUP BY ALL),
+bef AS (SELECT w2, w3, count(*) AS b FROM g GROUP BY ALL),
+hold AS (SELECT w2, count(*) AS h FROM g GROUP BY ALL)"""
+
 SQL = {
+    "porter_stems": _porter_sql(),
+    "swap_distances": f"""WITH l AS (SELECT {_LIST} AS ws FROM conversations),
+        pairs AS (SELECT DISTINCT ws[i] AS w1, ws[i + 1] AS w2 FROM l, unnest(range(1, len(ws))) t(i))
+        SELECT w1, w2, damerau_levenshtein({_bytes('w1')}, {_bytes('w2')}) AS edit FROM pairs""",
+    "trigram_discount": f"""{_TRIPLES} SELECT w1, w2, w3, round(CASE WHEN c IS NOT NULL THEN (c - 0.75::DOUBLE) / n
+          WHEN n IS NOT NULL AND b IS NOT NULL THEN CASE WHEN h - a > 0 THEN a * 0.75::DOUBLE / n * (b / (h - a)::DOUBLE) END
+          ELSE 0.0 END, 9) AS p
+        FROM asked LEFT JOIN g USING (w1, w2, w3) LEFT JOIN pairs USING (w1, w2) LEFT JOIN bef USING (w2, w3)
+        LEFT JOIN hold USING (w2)""",
     "lm_scores": f"{_lm_sql(2)} SELECT w1, w2, CAST(n AS BIGINT) AS n, {_R9} FROM scored",
     "lm_trigram_scores": f"{_lm_sql(3)} SELECT w1, w2, w3, CAST(n AS BIGINT) AS n, {_R9} FROM scored",
     "lm_perplexity": f"""{_lm_sql(2)}, bits AS ({' UNION ALL '.join(
