@@ -7,22 +7,22 @@ from pyspark.sql import functions as F
 
 
 # Tables of texts, whose rows are worth far more work than their bytes suggest.
-TEXT_KEYS = {"documents": "doc_id", "conversations": "conv_id"}
+TEXT_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"]}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
+    return spread(df, *TEXT_KEYS[name]) if name in TEXT_KEYS else df
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core a share of a table whose files cannot be split far enough.
 
     A table with at least as many splits as there are cores is left alone, so a large one
     is never shuffled for this.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def source_id(key: Column) -> Column:
