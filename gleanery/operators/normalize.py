@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.functions.tokenize import merged_text
 from gleanery.functions.words import words
 from gleanery.operators.tagging import DEFAULT_TAG, word_class
 
@@ -93,3 +94,10 @@ def normalized(documents: DataFrame, key: str, text: str = "text", **models: Dat
     return documents.select(key).join(lists, key, "left").select(
         key, F.coalesce(F.col("found.lemma"), F.array().cast("array<string>")).alias("tokens")
     )
+
+
+def processed(reviews: DataFrame, null_as: str = "", **models: DataFrame) -> DataFrame:
+    """Reviews with all their columns and `tokens`, the normal forms of summary and body."""
+    text = merged_text(F.col("summary"), F.col("reviewText"), null_as)
+    tokens = normalized(reviews.select("reviewId", text.alias("text")), "reviewId", **models)
+    return reviews.join(tokens, "reviewId")

@@ -1,12 +1,18 @@
 """Registered queries: sentences, words, tags, lemmas and whole normalised reviews."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gleanery.functions import words as w
 from gleanery.functions.tokenize import letter_words
 from gleanery.operators import normalize, tagging
+from gleanery.operators.moderation import deduplicated, with_review_id
 from gleanery.plans.inputs import STOP_WORDS, small_frame, sql_list, stop_words
-from gleanery.sources.tables import table
+from gleanery.schemas import DOCUMENT
+from gleanery.sources.arrivals import stream_table
+from gleanery.sources.tables import review_view, shared_dir, table
+from gleanery.streaming import review_stream
 
 # Irregular forms for the test corpus.
 EXCEPTIONS = [("thes", "n", "the"), ("ands", "n", "and"), ("ising", "v", "is")]
@@ -135,7 +141,33 @@ def normalized_reviews(spark, sf_dir):
     return done.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
 
 
+def processed_reviews(spark, sf_dir):
+    """Reviews enriched with their tokens; every input column stays."""
+    rows = with_review_id(review_view(_documents(spark, sf_dir)))
+    done = normalize.processed(rows, **_models(spark, sf_dir))
+    return done.select("reviewId", "category", "overall", F.array_join("tokens", " ").alias("tokens"))
+
+
+def stream_processed_reviews(spark, sf_dir):
+    """Arriving reviews -> processed reviews as JSON, one folder per micro-batch."""
+    work = f"{shared_dir(spark)}/processed-{uuid.uuid4().hex}"
+    documents = stream_table(spark, f"{sf_dir}/documents.parquet*", DOCUMENT)
+    arriving = with_review_id(review_view(documents))
+    models = _models(spark, sf_dir)
+
+    def enrich(batch, batch_id):
+        rows = normalize.processed(deduplicated(batch), **models)
+        rows.write.mode("overwrite").json(f"{work}/processed/batch={batch_id}")
+
+    review_stream.run_available(review_stream.start_batches(arriving, f"{work}/cp", enrich))
+    schema = "reviewId string, category string, overall double, tokens array<string>"
+    done = spark.read.schema(schema).json(f"{work}/processed")
+    return done.select("reviewId", "category", "overall", F.array_join("tokens", " ").alias("tokens"))
+
+
 QUERIES = {
+    "processed_reviews": processed_reviews,
+    "stream_processed_reviews": stream_processed_reviews,
     "sentence_split": sentence_split,
     "word_tokens": word_tokens,
     "delimiter_tokens": delimiter_tokens,
@@ -235,6 +267,21 @@ best AS (SELECT word, class, lemma FROM candidates JOIN known USING (lemma, clas
 lemma_of AS (SELECT f.word, f.class, coalesce(b.lemma, f.word) AS lemma FROM forms f
              LEFT JOIN best b ON f.word = b.word AND f.class = b.class)"""
 
+_NORMAL = f"""kept AS (SELECT doc_id, pos, token, lower(token) AS word FROM tokens
+  WHERE regexp_full_match(token, '\\p{{L}}+') AND lower(token) NOT IN ({sql_list(STOP_WORDS)})),
+placed AS (SELECT k.*, CASE left(coalesce(m.tag, 'NN'), 1) WHEN 'J' THEN 'a' WHEN 'V' THEN 'v' WHEN 'R' THEN 'r'
+           ELSE 'n' END AS class FROM kept k LEFT JOIN model m ON m.word = k.token),
+forms AS (SELECT DISTINCT word, class FROM placed), {_LEMMAS},
+normal AS (SELECT d.doc_id, coalesce(t.tokens, '') AS tokens FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(lemma, ' ' ORDER BY pos) AS tokens FROM placed p
+  JOIN lemma_of l ON p.word = l.word AND p.class = l.class GROUP BY doc_id) t USING (doc_id))"""
+_MERGED = _TOKENS.replace(
+    "FROM documents)", "FROM (SELECT doc_id, split_part(text, chr(10), 1) || ' ' || text AS text FROM documents))", 1
+)
+_PROCESSED = f"""WITH {_TAGGED}, {_MERGED}, {_NORMAL}
+SELECT printf('devset-%06d', doc_id) AS reviewId, source AS category, CAST(1 + doc_id % 5 AS DOUBLE) AS overall, tokens
+FROM normal JOIN documents USING (doc_id)"""
+
 SQL = {
     "sentence_split": f"""WITH lists AS (SELECT doc_id, {_SENTENCES} AS ss FROM documents)
         SELECT doc_id, unnest(ss) AS sentence, CAST(unnest(range(len(ss))) AS INTEGER) AS pos FROM lists""",
@@ -285,13 +332,8 @@ SQL = {
         SELECT turn_id, string_agg(tag, ' ' ORDER BY pos) AS tags FROM chain GROUP BY turn_id""",
     "lemma_forms": f"""WITH {_TAGGED}, forms AS (SELECT DISTINCT word, class FROM classed), {_LEMMAS}
         SELECT word, class AS pos, lemma FROM lemma_of""",
-    "normalized_reviews": f"""WITH {_TAGGED}, {_TOKENS},
-        kept AS (SELECT doc_id, pos, token, lower(token) AS word FROM tokens
-                 WHERE regexp_full_match(token, '\\p{{L}}+') AND lower(token) NOT IN ({sql_list(STOP_WORDS)})),
-        placed AS (SELECT k.*, CASE left(coalesce(m.tag, 'NN'), 1) WHEN 'J' THEN 'a' WHEN 'V' THEN 'v' WHEN 'R' THEN 'r'
-                   ELSE 'n' END AS class FROM kept k LEFT JOIN model m ON m.word = k.token),
-        forms AS (SELECT DISTINCT word, class FROM placed), {_LEMMAS}
-        SELECT d.doc_id, coalesce(t.tokens, '') AS tokens FROM documents d LEFT JOIN (
-          SELECT doc_id, string_agg(lemma, ' ' ORDER BY pos) AS tokens FROM placed p
-          JOIN lemma_of l ON p.word = l.word AND p.class = l.class GROUP BY doc_id) t USING (doc_id)""",
+    "normalized_reviews": f"""WITH {_TAGGED}, {_TOKENS}, {_NORMAL}
+        SELECT doc_id, tokens FROM normal""",
+    "processed_reviews": _PROCESSED,
+    "stream_processed_reviews": _PROCESSED,
 }
