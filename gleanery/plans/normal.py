@@ -5,6 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from gleanery.functions import words as w
+from gleanery.functions.messages import message_tokens
 from gleanery.functions.tokenize import letter_words
 from gleanery.operators import normalize, tagging
 from gleanery.operators.moderation import deduplicated, with_review_id
@@ -50,6 +51,13 @@ def delimiter_tokens(spark, sf_dir):
     )
 
 
+def message_token_counts(spark, sf_dir):
+    """Frequencies of the tokens of the conversations, read as short messages."""
+    turns = table(spark, sf_dir, "conversations")
+    tokens = message_tokens(F.col("text"), preserve_case=False, reduce_length=True)
+    return turns.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+
+
 def merged_expressions(spark, sf_dir):
     """Listed word groups as single tokens."""
     tokens = w.merge_expressions(letter_words(F.col("text")), [["of", "the"], ["in", "the"], ["de", "la"]])
@@ -171,6 +179,7 @@ QUERIES = {
     "sentence_split": sentence_split,
     "word_tokens": word_tokens,
     "delimiter_tokens": delimiter_tokens,
+    "message_token_counts": message_token_counts,
     "merged_expressions": merged_expressions,
     "tag_model": tag_model,
     "affix_tag_model": affix_tag_model,
