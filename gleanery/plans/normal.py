@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from gleanery.functions import words as w
-from gleanery.functions.messages import message_tokens
+from gleanery.functions.messages import ENTITIES, message_tokens
 from gleanery.functions.tokenize import letter_words
 from gleanery.operators import normalize, tagging
 from gleanery.operators.moderation import deduplicated, with_review_id
@@ -54,7 +54,7 @@ def delimiter_tokens(spark, sf_dir):
 def message_token_counts(spark, sf_dir):
     """Frequencies of the tokens of the conversations, read as short messages."""
     turns = table(spark, sf_dir, "conversations")
-    tokens = message_tokens(F.col("text"), preserve_case=False, reduce_length=True)
+    tokens = message_tokens(F.col("text"), preserve_case=False)
     return turns.select(F.explode(tokens).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
 
 
@@ -291,7 +291,43 @@ _PROCESSED = f"""WITH {_TAGGED}, {_MERGED}, {_NORMAL}
 SELECT printf('devset-%06d', doc_id) AS reviewId, source AS category, CAST(1 + doc_id % 5 AS DOUBLE) AS overall, tokens
 FROM normal JOIN documents USING (doc_id)"""
 
+
+
+def _message_sql() -> str:
+    """The same kinds of token for RE2, whose classes are ASCII and which has no back-references."""
+    word, letter, digit = "[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]", "\\p{L}", "\\p{Nd}"
+    blank = "\\s\\x0b\\x85\\p{Z}"
+    mouth = "[)\\](\\[dDpP/:}{@|\\\\]"
+    emoticon = f"(?:[<>]?[:;=8][\\-o*'']?{mouth}|{mouth}[\\-o*'']?[:;=8][<>]?|</?3)"
+    inner = word[1:-1]
+    kinds = [
+        f"(?:https?://|www\\.)[^{blank}<>\"]+[^{blank}<>\".,;:!?'')\\]]",
+        f"(?:(?:\\+?[01][ *\\-.)]*)?(?:\\(?{digit}{{3}}[ *\\-.)]*)?{digit}{{3}}[ *\\-.)]*{digit}{{4}})",
+        emoticon,
+        f"<[^>{blank}]+>",
+        "\\-+>|<\\-+",
+        f"@{word}+",
+        f"#+{word}+[{inner}''\\-]*{word}+",
+        f"[{inner}.+\\-]+@[{inner}\\-]+\\.(?:[{inner}\\-]\\.?)+[{inner}\\-]",
+        f"{letter}(?:{letter}|[''\\-_])+{letter}",
+        f"[+\\-]?{digit}+[,/.:\\-]{digit}+[+\\-]?",
+        f"{word}+",
+        f"\\.(?:[{blank}]*\\.)+",
+        f"[^{blank}]",
+    ]
+    text = "text"
+    for entity, character in ENTITIES:
+        character = character.replace("'", "''")
+        text = f"replace({text}, '{entity}', '{character}')"
+    for mark in ["\\.", "!", "\\?", "\\*", "#", "-", "=", "_", "~", "%", " ", "\\n"]:
+        plain = "chr(10)" if mark == "\\n" else "'" + mark.replace("\\", "") + "'"
+        text = f"regexp_replace({text}, '{mark}{{4,}}', repeat({plain}, 3), 'g')"
+    return f"""SELECT CASE WHEN regexp_matches(t, '(?i){emoticon}') THEN t ELSE lower(t) END AS token, count(*) AS n
+        FROM (SELECT unnest(regexp_extract_all({text}, '(?i){"|".join(kinds)}')) AS t FROM conversations) GROUP BY 1"""
+
+
 SQL = {
+    "message_token_counts": _message_sql(),
     "sentence_split": f"""WITH lists AS (SELECT doc_id, {_SENTENCES} AS ss FROM documents)
         SELECT doc_id, unnest(ss) AS sentence, CAST(unnest(range(len(ss))) AS INTEGER) AS pos FROM lists""",
     "word_tokens": f"WITH {_TOKENS} SELECT doc_id, token, pos FROM tokens",
