@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import byte_bpe, quality_rules
+from gleanery.llm import byte_bpe, minhash_join, quality_rules
 from gleanery.llm.frames import documents
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -23,12 +23,17 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op6_minhash_join": op6_minhash_join,
     "op9_quality_rules": op9_quality_rules,
 }
 
