@@ -4,9 +4,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import byte_bpe, minhash_join, quality_rules
+from gleanery.llm import byte_bpe, minhash_join, quality_rules, surrogates
 from gleanery.llm.frames import documents
 
+#: The key of the surrogates that the queries make; anyone else's is a secret of theirs.
+SURROGATE_KEY = b"key of the test tables"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -23,6 +25,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return surrogates.replaced(docs, SURROGATE_KEY)
+
+
 def op6_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(documents(spark, sf_dir))
 
@@ -33,6 +40,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_surrogates": op4_surrogates,
     "op6_minhash_join": op6_minhash_join,
     "op9_quality_rules": op9_quality_rules,
 }
