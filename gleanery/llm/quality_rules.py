@@ -221,6 +221,8 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the rules keep, each row judged by its own text."""
-    holdout = with_features(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"))
-    cutoffs = calibrate(holdout.select("doc_id", "lang", "q"), labels)
-    return decide(with_features(docs), cutoffs).filter("kept").select(*docs.columns)
+    columns = ["doc_id", "lang", "text"]
+    labelled = docs.select(*columns).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    cutoffs = calibrate(with_features(labelled).select("doc_id", "lang", "q"), labels)
+    rows = docs.select(*columns, F.struct("*").alias("row"))
+    return decide(with_features(rows), cutoffs).filter("kept").select("row.*")

@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import byte_bpe, minhash_join, quality_rules, surrogates
+from gleanery.llm import byte_bpe, hilbert, minhash_join, mixing, quality_rules, surrogates
 from gleanery.llm.frames import documents
 
 #: The key of the surrogates that the queries make; anyone else's is a secret of theirs.
@@ -25,6 +25,11 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.sized(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mixing.mixed(rows).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return surrogates.replaced(docs, SURROGATE_KEY)
@@ -38,11 +43,25 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.sharded(documents(spark, sf_dir)).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_mixing": op3_mixing,
     "op4_surrogates": op4_surrogates,
     "op6_minhash_join": op6_minhash_join,
     "op9_quality_rules": op9_quality_rules,
+    "op10_hilbert": op10_hilbert,
 }
 
 SQL: dict[str, str] = {}
