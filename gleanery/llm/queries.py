@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import byte_bpe, hilbert, minhash_join, mixing, quality_rules, surrogates
+from gleanery.llm import anchors, byte_bpe, hilbert, minhash_join, mixing, quality_rules, surrogates
 from gleanery.llm.frames import documents
 
 #: The key of the surrogates that the queries make; anyone else's is a secret of theirs.
@@ -35,6 +35,11 @@ def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replaced(docs, SURROGATE_KEY)
 
 
+def op5_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = anchors.without_repeats(documents(spark, sf_dir))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(documents(spark, sf_dir))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_mixing": op3_mixing,
     "op4_surrogates": op4_surrogates,
+    "op5_anchors": op5_anchors,
     "op6_minhash_join": op6_minhash_join,
     "op9_quality_rules": op9_quality_rules,
     "op10_hilbert": op10_hilbert,
