@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import anchors, byte_bpe, hilbert, minhash_join, mixing, quality_rules, surrogates
+from gleanery.llm import anchors, byte_bpe, hilbert, minhash_join, mixing, order_minhash, quality_rules, surrogates
 from gleanery.llm.frames import documents
 
 #: The key of the surrogates that the queries make; anyone else's is a secret of theirs.
@@ -44,6 +44,18 @@ def op6_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(documents(spark, sf_dir))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compared(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -66,6 +78,7 @@ QUERIES = {
     "op4_surrogates": op4_surrogates,
     "op5_anchors": op5_anchors,
     "op6_minhash_join": op6_minhash_join,
+    "op7_order_minhash": op7_order_minhash,
     "op9_quality_rules": op9_quality_rules,
     "op10_hilbert": op10_hilbert,
 }
