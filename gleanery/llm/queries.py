@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import anchors, byte_bpe, hilbert, minhash_join, mixing, order_minhash, quality_rules, surrogates
+from gleanery.llm import anchors, byte_bpe, chat, hilbert, minhash_join, mixing, order_minhash, quality_rules, surrogates
 from gleanery.llm.frames import documents
 
 #: The key of the surrogates that the queries make; anyone else's is a secret of theirs.
@@ -25,6 +25,23 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string"
+    )
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256)
+    return chat.parsed(chat.conversations(chat.linear(rows.union(extra)))).select(
+        F.col("tree").alias("conv_id"),
+        "n_turns",
+        digest("turns").alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        digest("loss_text").alias("loss_sha256"),
+        F.col("n_chars").alias("formatted_chars"),
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.sized(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return mixing.mixed(rows).select("doc_id", "size", "source_size", "target", "taken")
@@ -74,6 +91,7 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_chat": op2_chat,
     "op3_mixing": op3_mixing,
     "op4_surrogates": op4_surrogates,
     "op5_anchors": op5_anchors,
