@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import anchors, byte_bpe, chat, hilbert, minhash_join, mixing, order_minhash, quality_rules, surrogates
+from gleanery.llm import anchors, byte_bpe, chat, hilbert, minhash_join, mixing, order_minhash, quality_rules, secret_scan, surrogates
 from gleanery.llm.frames import documents
 
 #: The key of the surrogates that the queries make; anyone else's is a secret of theirs.
@@ -73,6 +73,17 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -97,6 +108,7 @@ QUERIES = {
     "op5_anchors": op5_anchors,
     "op6_minhash_join": op6_minhash_join,
     "op7_order_minhash": op7_order_minhash,
+    "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_hilbert": op10_hilbert,
 }
