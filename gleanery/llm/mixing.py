@@ -91,7 +91,7 @@ def mixed(sized: DataFrame, key: str = "doc_id", **options) -> DataFrame:
         .select("p.*", *[f"s.{c}" for c in plan.columns if c not in ("source", "_part")])
         .withColumn("running", F.col("_start") + running)
     )
-    fits = F.col("running") <= F.col("budget")
+    fits = (F.col("running") <= F.col("budget")) & (F.col("budget") > 0)
     filled = placed.groupBy("source", "budget").agg(
         F.coalesce(F.max(F.when(fits, F.col("running"))), F.lit(0)).alias("filled")
     )
