@@ -43,8 +43,8 @@ def pairwise(annotations: DataFrame, coders: list[str], distance=None) -> DataFr
         .join(right, "b")
         .groupBy("a", "b")
         .agg(
-            F.sum(F.when(F.col("la") == F.col("lb"), F.col("na") * F.col("nb")).otherwise(0)).alias("same"),
-            F.sum(distance(F.col("la"), F.col("lb")) * F.col("na") * F.col("nb")).alias("apart"),
+            F.sum(F.when(F.col("la") == F.col("lb"), F.col("na").cast("double") * F.col("nb")).otherwise(0.0)).alias("same"),
+            F.sum(distance(F.col("la"), F.col("lb")) * F.col("na").cast("double") * F.col("nb")).alias("apart"),
         )
     )
     ready = observed.join(expected, ["a", "b"]).withColumn("items", n_items.cast("double"))
@@ -71,21 +71,21 @@ def coefficients(annotations: DataFrame, coders: list[str]) -> DataFrame:
     )
     labels = annotations.groupBy("label").agg(F.count("*").alias("n"))
     overall = labels.agg(
-        F.count("*").alias("k"), F.sum(F.col("n") * F.col("n")).alias("squares")
+        F.count("*").alias("k"), F.sum(F.col("n").cast("double") * F.col("n")).alias("squares")
     )
     n_items = annotations.select("item").distinct().agg(F.count("*")).scalar()
     # Disagreement within items with two labels or more, and over all of those labels together.
     cells = annotations.groupBy("item", "label").agg(F.count("*").alias("n"))
     by_item = cells.groupBy("item").agg(
-        F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("squares")
+        F.sum("n").alias("m"), F.sum(F.col("n").cast("double") * F.col("n")).alias("squares")
     ).where("m > 1")
     within = by_item.agg(
-        F.sum(((F.col("m") * F.col("m") - F.col("squares")) / (F.col("m") - 1)).cast("decimal(28,12)")).alias("d"),
+        F.sum(((F.col("m").cast("double") * F.col("m") - F.col("squares")) / (F.col("m") - 1)).cast("decimal(28,12)")).alias("d"),
         F.sum("m").alias("m"),
     )
     valid = cells.join(by_item.select("item"), "item", "left_semi").groupBy("label").agg(F.sum("n").alias("n"))
     among = valid.agg(
-        F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("k")
+        F.sum("n").alias("m"), F.sum(F.col("n").cast("double") * F.col("n")).alias("squares"), F.count("*").alias("k")
     )
     one = pairs.withColumns(
         {

@@ -33,8 +33,10 @@ def train(doc_terms: DataFrame, documents: DataFrame, label: str) -> tuple[DataF
     return priors.select(label, "log_prior"), listed.select("term", label, F.log2(likelihood).alias("log_p"))
 
 
-def classify(doc_terms: DataFrame, priors: DataFrame, likelihoods: DataFrame, key: str, label: str) -> DataFrame:
-    """The likeliest label of every document from its known terms; ties by label.
+def classify(
+    documents: DataFrame, doc_terms: DataFrame, priors: DataFrame, likelihoods: DataFrame, key: str, label: str
+) -> DataFrame:
+    """The likeliest label of every document from its known terms, or from the priors alone; ties by label.
 
     Sums are decimals, so they do not depend on the order of the terms.
     """
@@ -46,8 +48,13 @@ def classify(doc_terms: DataFrame, priors: DataFrame, likelihoods: DataFrame, ke
         .join(priors, label)
         .withColumn("score", F.col("s") + F.col("log_prior").cast("decimal(28,10)"))
     )
-    best = F.min(F.struct((-F.col("score")).alias("_s"), label)).alias("best")
-    return scores.groupBy(key).agg(best).select(key, F.col(f"best.{label}").alias("predicted"))
+    best = scores.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("_s"), label)).alias("best"))
+    likeliest = priors.agg(F.min_by(label, F.struct(-F.col("log_prior"), F.col(label)))).scalar()
+    return (
+        documents.select(key)
+        .join(best, key, "left")
+        .select(key, F.coalesce(F.col(f"best.{label}"), likeliest).alias("predicted"))
+    )
 
 
 def informative(likelihoods: DataFrame, label: str, k: int) -> DataFrame:

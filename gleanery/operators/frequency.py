@@ -43,9 +43,13 @@ def conditional(samples: DataFrame, condition: str, column: str) -> DataFrame:
     return counts.join(totals, condition).withColumn("freq", F.col("n") / F.col("n_condition"))
 
 
-def tabulated(samples: DataFrame, condition: str, column: str, conditions: list[str]) -> DataFrame:
-    """One row per sample, one column per condition."""
-    return samples.groupBy(column).pivot(condition, conditions).count().na.fill(0)
+def tabulated(samples: DataFrame, condition: str, column: str) -> DataFrame:
+    """One row per sample and condition, zero where they never meet; samples without a condition take no part."""
+    counts = samples.where(F.col(condition).isNotNull()).groupBy(column, condition).agg(F.count("*").alias("n"))
+    known = counts.agg(F.collect_set(condition)).scalar()
+    by_sample = counts.groupBy(column).agg(F.map_from_entries(F.collect_list(F.struct(condition, "n"))).alias("_n"))
+    listed = by_sample.select(column, "_n", F.explode(known).alias(condition))
+    return listed.select(column, condition, F.coalesce(F.try_element_at("_n", F.col(condition)), F.lit(0)).alias("n"))
 
 
 def lidstone(counts: DataFrame, gamma: float, n_bins: Column | None = None) -> Column:

@@ -17,19 +17,20 @@ def trigrams(text: Column) -> Column:
     return F.regexp_extract_all(marked, F.lit("(?=([^>][^<>][^<]))"), F.lit(1))
 
 
-def profiles(labelled: DataFrame, text: str = "text", language: str = "lang", size: int = 1000) -> DataFrame:
-    """The `size` most frequent trigrams of each language with their rank from 0."""
+def profiles(
+    labelled: DataFrame, text: str = "text", language: str = "lang", size: int | None = None
+) -> DataFrame:
+    """The trigrams of each language with their rank by frequency, from 0; all of them, or the `size` first."""
     counts = (
         labelled.select(F.col(language).alias("language"), F.explode(trigrams(F.col(text))).alias("trigram"))
         .groupBy("language", "trigram")
         .agg(F.count("*").alias("n"))
     )
     by_count = Window.partitionBy("language").orderBy(F.desc("n"), F.asc("trigram"))
-    return (
-        counts.withColumn("place", F.row_number().over(by_count))
-        .where(F.col("place") <= size)
-        .select("language", "trigram", (F.col("place") - 1).alias("rank"))
-    )
+    placed = counts.withColumn("place", F.row_number().over(by_count))
+    if size is not None:
+        placed = placed.where(F.col("place") <= size)
+    return placed.select("language", "trigram", (F.col("place") - 1).alias("rank"))
 
 
 def ranked_trigrams(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -71,9 +72,12 @@ def distances(documents: DataFrame, profile: DataFrame, key: str, text: str = "t
 def guess(documents: DataFrame, profile: DataFrame, key: str, text: str = "text") -> DataFrame:
     """The language that lacks fewest trigrams, then the least out of place, then by name.
 
-    A missing trigram weighs more than any displacement, so the two never need adding up.
+    A missing trigram weighs more than any displacement, so the two never need adding up. A text without a known
+    trigram lacks as many for every language, so its guess is the first by name.
     """
     best = F.min(F.struct((-F.col("n_found")).alias("m"), "out_of_place", "language")).alias("best")
-    return distances(documents, profile, key, text).groupBy(key).agg(best).select(
-        key, F.col("best.language").alias("guess")
+    found = distances(documents, profile, key, text).groupBy(key).agg(best)
+    first = profile.agg(F.min("language")).scalar()
+    return (
+        documents.select(key).join(found, key, "left").select(key, F.coalesce("best.language", first).alias("guess"))
     )

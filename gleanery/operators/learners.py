@@ -3,16 +3,15 @@
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
-from pyspark.ml.feature import PCA, CountVectorizerModel, IndexToString, StringIndexer
+from pyspark.ml.feature import PCA, HashingTF, IndexToString, StringIndexer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def presence_vectors(rows: DataFrame, tokens: str, terms: list[str]) -> DataFrame:
-    """0/1 features over a given, bounded list of terms."""
-    counts = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens, outputCol="features")
-    return counts.setBinary(True).transform(rows)
+def presence_vectors(rows: DataFrame, tokens: str, buckets: int = 1 << 14) -> DataFrame:
+    """0/1 features of all terms, hashed into `buckets` places; two terms that share one count as one."""
+    return HashingTF(inputCol=tokens, outputCol="features", numFeatures=buckets, binary=True).transform(rows)
 
 
 def fit_labelled(rows: DataFrame, label: str, learner: str):

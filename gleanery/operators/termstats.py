@@ -111,7 +111,7 @@ def chi2_closed(cells: DataFrame) -> DataFrame:
     Products pass 2^63 long before the corpus is large, so they are taken in double.
     """
     a, b, c, d = (F.col(x) for x in "abcd")
-    diff = (a * d - b * c).cast("double")
+    diff = a.cast("double") * d - b.cast("double") * c
     margins = (
         (a + b).cast("double")
         * (a + c).cast("double")
@@ -161,10 +161,11 @@ def chi2_scores(
     tokenizer: str = "unicode",
     form: str = "closed",
 ) -> DataFrame:
-    """Scan, tokenise, count and score in one plan."""
-    cells = contingency(
-        term_category_counts(reviews, stop_words, tokenizer),
-        category_sizes(reviews),
-        corpus_size(reviews),
-    )
+    """Scan, tokenise, count and score in one plan.
+
+    The texts are read once; the corpus size is the sum of the category sizes, which need only the categories.
+    """
+    sizes = category_sizes(reviews)
+    n = sizes.agg(F.sum("n_c")).scalar()
+    cells = contingency(term_category_counts(reviews, stop_words, tokenizer), sizes, n)
     return chi2_closed(cells) if form == "closed" else chi2_expected(cells)

@@ -48,9 +48,8 @@ def cond_freq(spark, sf_dir):
 
 
 def tabulated_freq(spark, sf_dir):
-    return frequency.tabulated(
-        _words(spark, sf_dir, "lang"), "lang", "term", ["de", "en", "es", "fr"]
-    )
+    """Counts of every term under every condition that the data hold, in the long form."""
+    return frequency.tabulated(_words(spark, sf_dir, "lang"), "lang", "term")
 
 
 def smoothed_probabilities(spark, sf_dir):
@@ -325,8 +324,9 @@ SQL = {
     "cond_freq": f"""WITH {_LISTS}, c AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL)
         SELECT lang, term, n, CAST(sum(n) OVER (PARTITION BY lang) AS BIGINT) AS n_condition,
                n / CAST(sum(n) OVER (PARTITION BY lang) AS DOUBLE) AS freq FROM c""",
-    "tabulated_freq": f"""WITH {_LISTS} SELECT term, count(*) FILTER (lang = 'de') AS de, count(*) FILTER (lang = 'en') AS en,
-        count(*) FILTER (lang = 'es') AS es, count(*) FILTER (lang = 'fr') AS fr FROM words GROUP BY term""",
+    "tabulated_freq": f"""WITH {_LISTS}, c AS (SELECT term, lang, count(*) AS n FROM words GROUP BY ALL)
+        SELECT t.term, l.lang, coalesce(n, 0) AS n FROM (SELECT DISTINCT term FROM c) t CROSS JOIN (SELECT DISTINCT lang FROM c) l
+        LEFT JOIN c ON c.term = t.term AND c.lang = l.lang""",
     "smoothed_probabilities": f"""WITH {_COUNTS} SELECT term, n, (n + 0.2::DOUBLE) / (nn + bb * 0.2::DOUBLE) AS lidstone,
         (n + 1.0::DOUBLE) / (nn + bb * 1.0::DOUBLE) AS laplace, (n + 0.5::DOUBLE) / (nn + bb * 0.5::DOUBLE) AS expected_likelihood,
         n / (nn + bb)::DOUBLE AS witten_bell FROM counts, total""",

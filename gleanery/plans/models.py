@@ -22,8 +22,6 @@ ORDER = 2
 CUTOFF = 2
 MODELS = ["lidstone", "laplace", "witten_bell", "kneser_ney"]
 CODERS = ["length", "quality", "toxic"]
-N_FEATURES = 300
-PROFILE_SIZE = 400
 
 
 def _tokens():
@@ -86,7 +84,7 @@ def _sides(spark, sf_dir):
 
 
 def corpus_bleu(spark, sf_dir):
-    return textpairs.bleu(*_sides(spark, sf_dir), max_n=2).select(F.round("bleu", 9).alias("bleu"))
+    return textpairs.bleu(*_sides(spark, sf_dir)).select(F.round("bleu", 9).alias("bleu"))
 
 
 def corpus_gleu(spark, sf_dir):
@@ -101,7 +99,7 @@ def corpus_chrf(spark, sf_dir):
 
 
 def corpus_nist(spark, sf_dir):
-    return textpairs.nist(*_sides(spark, sf_dir), max_n=3).select(F.round("nist", 7).alias("nist"))
+    return textpairs.nist(*_sides(spark, sf_dir)).select(F.round("nist", 7).alias("nist"))
 
 
 def _annotations(spark, sf_dir):
@@ -147,12 +145,12 @@ def label_scores(spark, sf_dir):
 
 def _guessed(spark, sf_dir):
     rows = _documents(spark, sf_dir)
-    profile = language_id.profiles(rows, size=PROFILE_SIZE)
+    profile = language_id.profiles(rows)
     return language_id.guess(rows, profile, "doc_id").join(rows.select("doc_id", "lang"), "doc_id")
 
 
 def language_profiles(spark, sf_dir):
-    return language_id.profiles(_documents(spark, sf_dir), size=PROFILE_SIZE)
+    return language_id.profiles(_documents(spark, sf_dir))
 
 
 def langid(spark, sf_dir):
@@ -233,9 +231,7 @@ def trigram_discount(spark, sf_dir):
 
 
 def _presence(spark, sf_dir):
-    terms = features.document_terms(_documents(spark, sf_dir), ["doc_id", "lang"], _tokens())
-    wanted = bayes.feature_terms(terms, N_FEATURES).select("term")
-    return terms.join(wanted, "term", "left_semi")
+    return features.document_terms(_documents(spark, sf_dir), ["doc_id", "lang"], _tokens())
 
 
 def naive_bayes_model(spark, sf_dir):
@@ -246,14 +242,12 @@ def naive_bayes_model(spark, sf_dir):
 def naive_bayes(spark, sf_dir):
     present = _presence(spark, sf_dir)
     priors, likelihoods = bayes.train(present, _documents(spark, sf_dir), "lang")
-    return bayes.classify(present, priors, likelihoods, "doc_id", "lang")
+    return bayes.classify(_documents(spark, sf_dir), present, priors, likelihoods, "doc_id", "lang")
 
 
 def _learned(spark, sf_dir, learner):
     rows = _documents(spark, sf_dir).select("doc_id", "lang", _tokens().alias("tokens"))
-    terms = features.document_terms(_documents(spark, sf_dir), ["doc_id", "lang"], _tokens())
-    wanted = [r.term for r in bayes.feature_terms(terms, N_FEATURES).collect()]
-    vectors = learners.presence_vectors(rows, "tokens", wanted)
+    vectors = learners.presence_vectors(rows, "tokens")
     model = learners.fit_labelled(vectors.select("doc_id", "lang", "features"), "lang", learner)
     return classify.confusion(model.transform(vectors).select("lang", "predicted"), "lang", "predicted")
 
@@ -451,13 +445,15 @@ _TRI = """tri AS MATERIALIZED (
     FROM documents) x, unnest(range(1, length(w) - 1)) t(i)),
 profile AS (SELECT lang AS language, trigram, place - 1 AS rank FROM (
     SELECT lang, trigram, row_number() OVER (PARTITION BY lang ORDER BY n DESC, trigram) AS place
-    FROM (SELECT lang, trigram, count(*) AS n FROM tri GROUP BY ALL)) WHERE place <= %d),
+    FROM (SELECT lang, trigram, count(*) AS n FROM tri GROUP BY ALL))),
 placed AS (SELECT doc_id, trigram, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, trigram) - 1 AS place
            FROM (SELECT doc_id, trigram, count(*) AS n FROM tri GROUP BY ALL)),
 dist AS (SELECT doc_id, language, count(*) AS found, sum(abs(rank - place)) AS d FROM placed JOIN profile USING (trigram) GROUP BY ALL),
-guess AS (SELECT doc_id, language AS guess FROM dist
-          QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY found DESC, d, language) = 1),
-judged AS (SELECT lang, guess FROM guess JOIN documents USING (doc_id))""" % PROFILE_SIZE
+best AS (SELECT doc_id, language FROM dist
+         QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY found DESC, d, language) = 1),
+guess AS (SELECT doc_id, lang, coalesce(language, (SELECT min(language) FROM profile)) AS guess
+          FROM documents LEFT JOIN best USING (doc_id)),
+judged AS (SELECT lang, guess FROM guess)"""
 
 # DuckDB measures words in bytes, so letters beyond ASCII are first given one byte each.
 _WIDE = "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿœ"
@@ -476,7 +472,7 @@ sizes AS (SELECT *, len(a) AS na, len(b) AS nb, len(list_intersect(a, b)) AS n_b
 
 _BAYES = f"""WITH present AS MATERIALIZED (
   SELECT DISTINCT doc_id, lang, unnest({_LIST}) AS term FROM documents),
-wanted AS (SELECT term, count(*) AS df FROM present GROUP BY term ORDER BY df DESC, term LIMIT {N_FEATURES}),
+wanted AS (SELECT term, count(*) AS df FROM present GROUP BY term),
 sizes AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
 total AS (SELECT sum(n) AS nn, count(*) AS k FROM sizes),
 seen AS (SELECT term, lang, count(*) AS c FROM present GROUP BY ALL),
@@ -561,14 +557,14 @@ SQL = {
     "lm_perplexity": f"""{_lm_sql(2)}, bits AS ({' UNION ALL '.join(
         f"SELECT '{m}' AS model, sum(CAST(-log2({m}) * n AS DECIMAL(28,10)))::DOUBLE / sum(n) AS e FROM scored" for m in MODELS)})
         SELECT model, round(e, 6) AS entropy, round(pow(2.0, e), 4) AS perplexity FROM bits""",
-    "corpus_bleu": f"""{_PAIRS}, hg AS {_grams('hyps', 'pair', 2)}, rg AS {_grams('refs', 'pair, ref', 2)},
+    "corpus_bleu": f"""{_PAIRS}, hg AS {_grams('hyps', 'pair', 4)}, rg AS {_grams('refs', 'pair, ref', 4)},
         best AS (SELECT pair, n, gram, max(c) AS c FROM rg GROUP BY ALL),
         hits AS (SELECT n, sum(least(h.c, b.c)) AS hit FROM hg h JOIN best b USING (pair, n, gram) GROUP BY n),
-        totals AS (SELECT n, sum(greatest(len(ws) - n + 1, 1)) AS total FROM hyps CROSS JOIN {_totals(2)} GROUP BY n),
+        totals AS (SELECT n, sum(greatest(len(ws) - n + 1, 1)) AS total FROM hyps CROSS JOIN {_totals(4)} GROUP BY n),
         closest AS (SELECT sum(h) AS h, sum(r) AS r FROM (SELECT h.pair, len(h.ws) AS h,
             arg_min(len(r.ws), abs(len(r.ws) - len(h.ws)) * 1000000 + len(r.ws)) AS r FROM hyps h JOIN refs r USING (pair) GROUP BY ALL))
         SELECT round(CASE WHEN any_value(h) > any_value(r) THEN 1.0 ELSE exp(1 - any_value(r) / any_value(h)::DOUBLE) END
-               * exp(sum(ln(CASE WHEN hit > 0 THEN hit / total::DOUBLE ELSE 2.2250738585072014e-308 END)) / 2), 9) AS bleu
+               * exp(sum(ln(CASE WHEN hit > 0 THEN hit / total::DOUBLE ELSE 2.2250738585072014e-308 END)) / 4), 9) AS bleu
         FROM totals LEFT JOIN hits USING (n) CROSS JOIN closest""",
     "corpus_gleu": f"""{_PAIRS}, hg AS {_grams('hyps', 'pair', 4)}, rg AS {_grams('refs', 'pair, ref', 4)},
         hits AS (SELECT pair, ref, sum(least(h.c, r.c)) AS hit FROM hg h JOIN rg r USING (pair, n, gram) GROUP BY ALL),
@@ -579,7 +575,7 @@ SQL = {
                  QUALIFY row_number() OVER (PARTITION BY pair ORDER BY coalesce(hit, 0) / n_all::DOUBLE DESC, n_all) = 1)
         SELECT round(sum(hit) / sum(n_all)::DOUBLE, 9) AS gleu FROM best""",
     "corpus_chrf": _CHRF,
-    "corpus_nist": f"""{_PAIRS}, hg AS {_grams('hyps', 'pair', 3)}, rg AS {_grams('refs', 'pair, ref', 3)},
+    "corpus_nist": f"""{_PAIRS}, hg AS {_grams('hyps', 'pair', 5)}, rg AS {_grams('refs', 'pair, ref', 5)},
         freq AS (SELECT n, gram, sum(c) AS f FROM rg GROUP BY ALL),
         nw AS (SELECT sum(len(ws)) AS words FROM refs),
         info AS (SELECT a.n, a.gram, log2(coalesce(b.f, words) / a.f::DOUBLE) AS info FROM freq a CROSS JOIN nw
@@ -587,7 +583,7 @@ SQL = {
         nums AS (SELECT pair, ref, n, sum(CAST(info * least(h.c, r.c) AS DECIMAL(28,10))) AS num
                  FROM hg h JOIN rg r USING (pair, n, gram) JOIN info USING (n, gram) GROUP BY ALL),
         grid AS (SELECT r.pair, r.ref, n, len(r.ws) AS r, len(h.ws) AS h, greatest(len(h.ws) - n + 1, 0) AS den
-                 FROM refs r JOIN hyps h USING (pair) CROSS JOIN {_totals(3)}),
+                 FROM refs r JOIN hyps h USING (pair) CROSS JOIN {_totals(5)}),
         scored AS (SELECT g.*, coalesce(num, 0) AS num, CASE WHEN den > 0 THEN coalesce(num, 0)::DOUBLE / den ELSE 0 END AS p
                    FROM grid g LEFT JOIN nums USING (pair, ref, n)),
         best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY pair, n ORDER BY p DESC, num DESC, den DESC, r DESC) = 1),
@@ -640,8 +636,10 @@ SQL = {
     "naive_bayes": f"""{_BAYES}, s AS (SELECT doc_id, m.lang, sum(CAST(log_p AS DECIMAL(28,10))) AS s
           FROM present p JOIN model m USING (term) GROUP BY ALL),
         f AS (SELECT doc_id, s.lang, s + CAST(log2((n + 0.5::DOUBLE) / (nn + k * 0.5::DOUBLE)) AS DECIMAL(28,10)) AS score
-              FROM s JOIN sizes USING (lang) CROSS JOIN total)
-        SELECT doc_id, lang AS predicted FROM f QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1""",
+              FROM s JOIN sizes USING (lang) CROSS JOIN total),
+        best AS (SELECT doc_id, lang FROM f QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, lang) = 1)
+        SELECT doc_id, coalesce(best.lang, (SELECT lang FROM sizes ORDER BY n DESC, lang LIMIT 1)) AS predicted
+        FROM documents LEFT JOIN best USING (doc_id)""",
     "event_fields": "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events",
     "event_entities": """SELECT event_id, CAST(event_id AS VARCHAR) AS id, event_type AS type_name
         FROM events, unnest([1, 2]) t(i)""",

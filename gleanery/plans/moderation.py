@@ -30,8 +30,8 @@ def _moderated(spark, sf_dir):
     return mod.moderate(_identified(spark, sf_dir), bad_words(spark))
 
 
-def _sentiments(spark, sf_dir, rows=None):
-    rows = _identified(spark, sf_dir) if rows is None else rows
+def _sentiments(spark, sf_dir):
+    rows = _identified(spark, sf_dir)
     text = merged_text(F.col("summary"), F.col("reviewText"))
     scores = valence.polarity_scores(
         rows, valence_lexicon(spark), text=text, rules=corpus_rules()
@@ -50,10 +50,9 @@ def _labelled(rows, scores):
 
 
 def _scored_reviews(spark, sf_dir):
-    """Sentiment columns of the reviews the sentiment step has reached: all but the French ones."""
-    done = table(spark, sf_dir, "documents").where("lang <> 'fr'").select("doc_id")
-    rows = _identified(spark, sf_dir).join(done, "doc_id", "left_semi")
-    return _labelled(rows.select("reviewId", "overall"), _sentiments(spark, sf_dir, rows))
+    """Sentiment columns of all reviews."""
+    rows = _identified(spark, sf_dir)
+    return _labelled(rows.select("reviewId", "overall"), _sentiments(spark, sf_dir))
 
 
 def _review_table(spark, sf_dir):
@@ -101,11 +100,11 @@ def _event_log(spark, sf_dir):
 
 
 def event_bans(spark, sf_dir):
-    return mod.user_bans(_event_log(spark, sf_dir))
+    return mod.user_bans(_event_log(spark, sf_dir), mod.ban_limit(spark))
 
 
 def event_ban_moments(spark, sf_dir):
-    return mod.ban_events(_event_log(spark, sf_dir), ["ts", "reviewId"]).select(
+    return mod.ban_events(_event_log(spark, sf_dir), ["ts", "reviewId"], mod.ban_limit(spark)).select(
         "userId", F.col("reviewId").alias("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("banned_at")
     )
 
@@ -141,18 +140,27 @@ def review_table(spark, sf_dir):
     )
 
 
+def _empty_table(spark):
+    strings = ", ".join(f"{c} string" for c in ("reviewId", "userId", "summary", "reviewText"))
+    kinds = "overall decimal(3,1), profanityCheck string, sentiment string, sentimentScore string"
+    return spark.createDataFrame([], f"{strings}, {kinds}, ratingSentimentAgreement boolean")
+
+
+def _merged(table_):
+    return table_.select("reviewId", "userId", "profanityCheck", "sentiment", "ratingSentimentAgreement")
+
+
 def review_upserts(spark, sf_dir):
-    """The same table from keyed upserts in two steps; equal to `review_table`."""
-    scored = _scored_reviews(spark, sf_dir)
-    empty = scored.select(
-        "reviewId",
-        *[F.lit(None).cast("string").alias(c) for c in ("userId", "summary", "reviewText")],
-        F.lit(None).cast("decimal(3,1)").alias("overall"),
-        F.lit(None).cast("string").alias("profanityCheck"),
-        *mod.SENTIMENT_COLUMNS,
-    )
-    merged = mod.upsert_moderation(empty, _moderated(spark, sf_dir))
-    return merged.select("reviewId", "userId", "profanityCheck", "sentiment", "ratingSentimentAgreement")
+    """The same table from both keyed upserts, sentiment first; equal to `review_table`."""
+    stored = mod.upsert_sentiment(_empty_table(spark), _scored_reviews(spark, sf_dir))
+    return _merged(mod.upsert_moderation(stored, _moderated(spark, sf_dir)))
+
+
+def sentiment_upserts(spark, sf_dir):
+    """Sentiment written over moderated reviews; every third has no moderation yet and is added."""
+    moderated = _moderated(spark, sf_dir).where(F.substring("reviewId", -6, 6).cast("long") % 3 > 0)
+    stored = mod.upsert_moderation(_empty_table(spark), moderated)
+    return _merged(mod.upsert_sentiment(stored, _scored_reviews(spark, sf_dir)))
 
 
 def sentiment_histogram(spark, sf_dir):
@@ -205,6 +213,7 @@ QUERIES = {
     "rating_agreement": rating_agreement,
     "review_table": review_table,
     "review_upserts": review_upserts,
+    "sentiment_upserts": sentiment_upserts,
     "sentiment_histogram": sentiment_histogram,
     "review_summary": review_summary,
     "banned_users": banned_users,
@@ -231,12 +240,10 @@ running AS (SELECT userId, reviewId, row_number() OVER (PARTITION BY userId ORDE
 _TABLE = f"""{_MODERATED}, {VALENCE_CTE},
 labelled AS (SELECT r.sourceId AS reviewId, compound, {_LABEL} AS sentiment, ({_BAND}) = ({_LABEL}) AS agrees
              FROM reviews r JOIN scores ON scores.reviewId = r.sourceId),
-reached AS (SELECT l.* FROM labelled l JOIN reviews r ON l.reviewId = r.sourceId
-            JOIN documents d USING (doc_id) WHERE d.lang <> 'fr'),
 review_table AS (
   SELECT coalesce(m.reviewId, l.reviewId) AS reviewId, userId, overall, profanityCheck,
          coalesce(sentiment, 'pending') AS sentiment, compound, agrees AS ratingSentimentAgreement
-  FROM moderated m FULL JOIN reached l ON m.reviewId = l.reviewId),
+  FROM moderated m FULL JOIN labelled l ON m.reviewId = l.reviewId),
 histogram AS (SELECT sentiment, count(*) AS n_reviews FROM review_table GROUP BY sentiment),
 counts AS (
   SELECT count(*) AS totalReviews,
@@ -295,6 +302,9 @@ SQL = {
     "review_table": f"{_TABLE} SELECT * FROM review_table",
     "review_upserts": f"""{_TABLE} SELECT reviewId, userId, profanityCheck, sentiment,
         ratingSentimentAgreement FROM review_table""",
+    "sentiment_upserts": f"""{_TABLE}
+        SELECT l.reviewId, userId, profanityCheck, sentiment, agrees AS ratingSentimentAgreement FROM labelled l
+        LEFT JOIN (SELECT * FROM moderated WHERE CAST(right(reviewId, 6) AS BIGINT) % 3 > 0) m ON m.reviewId = l.reviewId""",
     "sentiment_histogram": f"{_TABLE} SELECT * FROM histogram",
     "review_summary": f"{_TABLE} SELECT * FROM counts",
     "banned_users": f"""{_MODERATED} SELECT userId, impoliteCount FROM users WHERE impoliteCount > 3
@@ -304,9 +314,8 @@ SQL = {
         || '}},"profanityFailCount":' || profanityFailCount
         || ',"ratingSentimentComparedCount":' || ratingSentimentComparedCount
         || ',"ratingSentimentDisagreementCount":' || ratingSentimentDisagreementCount
-        || ',"bannedUsers":[' || coalesce((SELECT string_agg('{{"userId":"' || userId || '","impoliteCount":'
-             || impoliteCount || '}}', ',' ORDER BY userId) FROM users WHERE impoliteCount > 3), '')
-        || ']}}' AS summary FROM counts""",
+        || ',"bannedUserCount":' || (SELECT count(*) FROM users WHERE impoliteCount > 3)
+        || '}}' AS summary FROM counts""",
     "pipeline_complete": f"""{_TABLE} SELECT (SELECT count(*) FROM reviews) AS expected, totalReviews, pendingCount,
         totalReviews >= (SELECT count(*) FROM reviews) AND pendingCount = 0 AS complete FROM counts""",
     "sequential_ids": """SELECT doc_id, printf('devset-%06d', row_number() OVER (ORDER BY source, doc_id) - 1)

@@ -1,8 +1,8 @@
 """All registered queries, gathered from the plan modules."""
 
-from gleanery.plans import corpus, features, models, moderation, normal, sentiment, streams, terms
+from gleanery.plans import corpus, features, json_files, models, moderation, normal, sentiment, streams, terms
 
-MODULES = [terms, features, moderation, sentiment, streams, normal, corpus, models]
+MODULES = [terms, features, moderation, sentiment, json_files, streams, normal, corpus, models]
 
 
 def queries() -> dict:

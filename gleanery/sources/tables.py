@@ -1,7 +1,5 @@
 """Parquet tables, and the review view over `documents`."""
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,19 +8,15 @@ from pyspark.sql import functions as F
 TEXT_KEYS = {"documents": ["doc_id"], "conversations": ["conv_id", "turn"]}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, *TEXT_KEYS[name]) if name in TEXT_KEYS else df
-
+#: Partitions that text tables are dealt into when they are read; unset, they keep the splits of their files.
+PARTITIONS_KEY = "gleanery.input.partitions"
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a table whose files cannot be split far enough.
 
-    A table with at least as many splits as there are cores is left alone, so a large one
-    is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as its files are split; a session whose text files can't be split asks for partitions instead."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    wanted = spark.conf.get(PARTITIONS_KEY, None)
+    return df.repartition(int(wanted), *TEXT_KEYS[name]) if wanted and name in TEXT_KEYS else df
 
 
 def source_id(key: Column) -> Column:
@@ -47,13 +41,9 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a private one is made only for a local session without any."""
+    """The folder that the driver and all executors reach: spark.checkpoint.dir, or else one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="gleanery-")
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -270,7 +270,7 @@ def test_naive_bayes_by_hand(spark):
     assert p[("aa", "x")] == pytest.approx(2.5 / 3) and p[("aa", "y")] == pytest.approx(0.5 / 3)
     assert p[("bb", "x")] == pytest.approx(1.5 / 3)
     asked = spark.createDataFrame([(9, "aa"), (9, "zz"), (8, "cc"), (8, "bb")], "id long, term string")
-    got = {r.id: r.predicted for r in bayes.classify(asked, priors, model, "id", "label").collect()}
+    got = {r.id: r.predicted for r in bayes.classify(asked.select("id").distinct(), asked, priors, model, "id", "label").collect()}
     assert got == {9: "x", 8: "y"}
 
 
@@ -316,3 +316,21 @@ def test_json_fields(spark):
     assert tuple(json_fields.flat(rows, "doc", ["id", "user.name", "no.such"]).first()) == ("1", "n", None)
     got = json_fields.entities(rows, "doc", "entities.tags", ["text", "pos.x"]).collect()
     assert [tuple(r) for r in got] == [("a", "1"), ("b", None)]
+
+
+def test_texts_without_known_trigrams_and_terms_keep_their_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, "alpha beta", "b"), (2, "12 !!", "a"), (3, None, "b")], "doc_id long, text string, lang string"
+    )
+    profile = language_id.profiles(docs)
+    assert {r.doc_id: r.guess for r in language_id.guess(docs, profile, "doc_id").collect()} == {1: "b", 2: "b", 3: "b"}
+    terms = spark.createDataFrame([(1, "b", "alpha")], "doc_id long, lang string, term string")
+    priors, likelihoods = bayes.train(terms, docs, "lang")
+    got = bayes.classify(docs, terms, priors, likelihoods, "doc_id", "lang").collect()
+    assert {r.doc_id: r.predicted for r in got} == {1: "b", 2: "b", 3: "b"}
+
+
+def test_counts_of_every_condition(spark):
+    rows = spark.createDataFrame([("x", "p"), ("x", "p"), ("y", "q"), (None, "p")], "lang string, term string")
+    got = {tuple(r) for r in frequency.tabulated(rows, "lang", "term").collect()}
+    assert got == {("p", "x", 2), ("p", "y", 0), ("q", "x", 0), ("q", "y", 1)}

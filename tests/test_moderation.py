@@ -187,7 +187,7 @@ def test_tally_fixture(spark):
         "profanityFailCount": 1,
         "ratingSentimentComparedCount": 3,
         "ratingSentimentDisagreementCount": 1,
-        "bannedUsers": [{"userId": "u3", "impoliteCount": 5}],
+        "bannedUserCount": 1,
     }
     done = spark.range(1).select(mod.is_complete(mine, 5).alias("a"), mod.is_complete(mine.where("sentiment is not null"), 4).alias("b")).first()
     assert (done.a, done.b) == (False, True)

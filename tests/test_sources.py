@@ -102,11 +102,16 @@ def test_sinks(spark, tmp_path):
     assert json_lines.read_reviews(spark, str(tmp_path / "all")).count() == 20
 
 
-def test_spread_leaves_tables_with_enough_splits_alone(spark):
-    wide = spark.range(0, 100, 1, 16)
-    assert tables.spread(wide, "id") is wide
-    narrow = spark.range(0, 100, 1, 1)
-    assert tables.spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+def test_tables_keep_their_splits_unless_told(spark, tmp_path):
+    spark.range(100).withColumnRenamed("id", "doc_id").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = spark.conf.get(tables.PARTITIONS_KEY)
+    try:
+        spark.conf.unset(tables.PARTITIONS_KEY)
+        assert tables.table(spark, str(tmp_path), "documents").rdd.getNumPartitions() == 1
+        spark.conf.set(tables.PARTITIONS_KEY, "3")
+        assert tables.table(spark, str(tmp_path), "documents").rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.set(tables.PARTITIONS_KEY, wanted)
 
 
 def test_shared_folder_is_the_cluster_setting(spark):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions.tokenize import merged_text, tokens
-from gleanery.operators import ranking, termstats
+from gleanery.operators import features, ranking, termstats
 
 MICRO = [
     ("Book", "reading great novel reading"),
@@ -153,3 +153,24 @@ def test_small_tables_are_broadcast_by_measured_size(spark, micro, stop):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_chi_square_of_a_corpus_beyond_the_range_of_products(spark):
+    cells = spark.createDataFrame(
+        [("t", "c", 40_000_000_000, 10**9, 10**9, 10**9, 37_000_000_000)],
+        "term string, category string, n long, a long, b long, c long, d long",
+    )
+    (closed,) = termstats.chi2_closed(cells).collect()
+    (expected,) = termstats.chi2_expected(cells).collect()
+    assert abs(closed.chi2 / expected.chi2 - 1) < 1e-9 and closed.chi2 > 8e9
+
+
+def test_feature_chi_square_of_a_large_corpus(spark):
+    # Counts of documents above 4e9 as sizes; two terms of one document each keep the table small.
+    terms = spark.createDataFrame([("t", 1, "a"), ("t", 2, "b")], "term string, tf long, category string")
+    sizes = spark.createDataFrame([("a", 6 * 10**9), ("b", 5 * 10**9)], "category string, n_c long")
+    n = F.lit(11 * 10**9)
+    (row,) = features.feature_chi2(terms, sizes, n, F.lit(2)).collect()
+    # One document of a in level 1, one of b in level 2: n * (1/n_a + 1/n_b + rest - 1)
+    rest = sum((s - 1) ** 2 / (s * (11e9 - 2)) for s in (6e9, 5e9))
+    assert abs(row.chi2 - 11e9 * (1 / 6e9 + 1 / 5e9 + rest - 1)) < 1e-3 and row.dof == 2
