@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import byte_bpe, minhash_join, mixing, quality_rules, surrogates
-from gleanery.llm.frames import documents, shared_dir
+from gleanery.llm.frames import documents
 from gleanery.llm.queries import RANK_FILE, SURROGATE_KEY
+from gleanery.sources.tables import shared_dir
 
 
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:

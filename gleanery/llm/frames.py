@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from gleanery.sources.tables import ensure_checkpoint_dir
+
 #: A word: a run of characters other than the space and 0x09-0x0D.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD_CHARACTER = r"[^\x20\x09-\x0D]"
@@ -13,19 +15,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors reach."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("spark.checkpoint.dir must name a folder that every executor can reach")
-    return folder
-
-
 def kept(df: DataFrame) -> DataFrame:
     """Compute a frame once, into the shared folder; later steps read it from there."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
