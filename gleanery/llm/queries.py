@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from gleanery.llm import anchors, byte_bpe, chat, hilbert, minhash_join, mixing, order_minhash, quality_rules, secret_scan, surrogates
 from gleanery.llm.frames import documents
+from gleanery.llm.oracles import SQL
 
 #: The key of the surrogates that the queries make; anyone else's is a secret of theirs.
 SURROGATE_KEY = b"key of the test tables"
+__all__ = ["QUERIES", "SQL"]
+
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -112,5 +115,3 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_hilbert": op10_hilbert,
 }
-
-SQL: dict[str, str] = {}
