@@ -60,20 +60,13 @@ def normal_forms(
     tag_model: DataFrame,
     lemma_table: DataFrame,
     exceptions: DataFrame,
-    stop_words: DataFrame,
     default_tag: str = DEFAULT_TAG,
 ) -> DataFrame:
-    """token -> normal form, for every distinct token that survives the filters.
+    """token -> normal form, for every distinct token.
 
     Tags depend on the word alone, so all the work is on distinct tokens.
     """
-    distinct = (
-        tokens.select("token")
-        .distinct()
-        .where(F.col("token").rlike(r"^\p{L}+$"))
-        .withColumn("word", F.lower("token"))
-        .join(stop_words.select("word"), "word", "left_anti")
-    )
+    distinct = tokens.select("token").distinct().withColumn("word", F.lower("token"))
     tags = tag_model.select(F.col("word").alias("token"), "tag")
     tagged = distinct.join(tags, "token", "left").withColumn(
         "pos", word_class(F.coalesce("tag", F.lit(default_tag)))
@@ -82,17 +75,58 @@ def normal_forms(
     return tagged.join(forms, ["word", "pos"]).select("token", "lemma")
 
 
-def normalized(documents: DataFrame, key: str, text: str = "text", **models: DataFrame) -> DataFrame:
-    """key and `tokens`: lemmas in text order, doubles kept; an empty list where nothing is left."""
-    rows = token_rows(documents, key, text)
-    # Doubles within a text go before anything is shuffled.
-    distinct = documents.select(F.explode(F.array_distinct(words(F.col(text)))).alias("token"))
-    forms = normal_forms(distinct, **models)
-    lists = rows.join(forms, "token").groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "lemma"))).alias("found")
+def token_places(documents: DataFrame, key: str, stop_words: DataFrame, text: str = "text") -> DataFrame:
+    """key, token, places: one row for each distinct letter token of a text that is no stop word.
+
+    Each text is cut once and grouped within its row, so doubles and stop words go before anything is shuffled.
+    """
+    letters = F.filter(
+        F.transform(words(F.col(text)), lambda w, i: F.struct(w.alias("token"), i.alias("place"))),
+        lambda t: t["token"].rlike(r"^\p{L}+$"),
+    )
+    ordered = documents.select(key, F.sort_array(letters).alias("_t"))
+    starts = F.when(
+        F.size("_t") > 0,
+        F.filter(
+            F.sequence(F.lit(0), F.size("_t") - 1),
+            lambda i: (i == 0) | (F.get(F.col("_t"), i)["token"] != F.get(F.col("_t"), i - 1)["token"]),
+        ),
+    ).otherwise(F.array().cast("array<int>"))
+    runs = F.transform(
+        "_s",
+        lambda at, k: F.struct(
+            F.get(F.col("_t"), at)["token"].alias("token"),
+            F.slice(F.col("_t"), at + 1, F.coalesce(F.get(F.col("_s"), k + 1), F.size("_t")) - at)["place"].alias("places"),
+        ),
+    )
+    found = ordered.withColumn("_s", starts).select(key, F.inline(runs))
+    return found.join(stop_words.select("word"), F.lower("token") == F.col("word"), "left_anti")
+
+
+def normalized(
+    documents: DataFrame, key: str, text: str = "text", *, stop_words: DataFrame, salts: int = 16, **models: DataFrame
+) -> DataFrame:
+    """key and `tokens`: lemmas in text order, doubles kept; an empty list where nothing is left.
+
+    The distinct tokens and the join read one exchange of the texts' tokens. It is dealt by token and one of `salts`
+    parts of the keys, so that a token that every text holds is spread over as many tasks.
+    """
+    salt = F.pmod(F.xxhash64(key), F.lit(salts)).alias("_salt")
+    places = token_places(documents, key, stop_words, text).select("*", salt).repartition("token", "_salt")
+    distinct = places.select("token", "_salt").distinct()
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt")
+    forms = normal_forms(distinct, **models).select("token", "lemma", every)
+    lists = places.join(forms, ["token", "_salt"]).groupBy(key).agg(
+        F.collect_list(F.struct("places", "lemma")).alias("_found")
+    )
+    spread = F.flatten(
+        F.transform(
+            "_found",
+            lambda f: F.transform(f["places"], lambda p: F.struct(p.alias("place"), f["lemma"].alias("lemma"))),
+        )
     )
     return documents.select(key).join(lists, key, "left").select(
-        key, F.coalesce(F.col("found.lemma"), F.array().cast("array<string>")).alias("tokens")
+        key, F.coalesce(F.sort_array(spread)["lemma"], F.array().cast("array<string>")).alias("tokens")
     )
 
 
