@@ -39,12 +39,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = byte_bpe.read_ranks(public_tokenizers.path(RANK_FILE))
-    encoded = byte_bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
-    whole = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
-    return decoded.select(
-        "doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("decodes_to_text")
-    )
+    made = byte_bpe.verified(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
+    return made.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "decodes_to_text")
 
 
 STAGES = [

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.frames import kept
 
+PACK_ROWS = 500
+
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """One batch for each run of equal keys (integers without nulls) in a sorted partition.
@@ -112,7 +114,18 @@ def _checksum(edges: DataFrame) -> tuple:
 def packed(batch: pa.RecordBatch, text: str) -> pa.Array:
     """The texts of a batch, each compressed on its own: what a shuffle of whole texts moves."""
     press = zstandard.ZstdCompressor(level=1)
-    return pa.array([press.compress((t or "").encode()) for t in batch.column(text).to_pylist()], pa.binary())
+    column, parts = batch.column(text), [pa.array([], pa.binary())]
+    for first in range(0, len(column), PACK_ROWS):  # few texts at a time are Python objects
+        texts = column.slice(first, PACK_ROWS).to_pylist()
+        parts.append(pa.array([press.compress((t or "").encode()) for t in texts], pa.binary()))
+    return pa.concat_arrays(parts)
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few rows, for work that makes Python objects of texts."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, PACK_ROWS):
+            yield batch.slice(first, PACK_ROWS)
 
 
 def unpacked(column: pa.Array) -> pa.Array:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.llm.frames import kept
-from gleanery.llm.groups import packed, unpacked
+from gleanery.llm.groups import packed, sliced, unpacked
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
@@ -205,7 +205,7 @@ def mentions(docs: DataFrame, key: str, text: str) -> DataFrame:
     """One row for each entity of each row: row id, place, type, normal form."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows, found = [], []
             for i, body in enumerate(batch.column("_text").to_pylist()):
                 for x in find(body or ""):
@@ -280,7 +280,7 @@ def replaced(docs: DataFrame, secret: bytes, key: str = "doc_id", text: str = "t
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             rows = zip(*(batch.column(c).to_pylist() for c in ("_null", "_spans")))
             texts, counts = unpacked(batch.column(text)).to_pylist(), []
             for i, (null, places) in enumerate(rows):
