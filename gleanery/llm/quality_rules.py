@@ -220,9 +220,11 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def filtered(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the rules keep, each row judged by its own text."""
+    """The documents that the rules keep, each row judged by its own text.
+
+    Texts are measured twice, once for the cutoffs and once to be judged, and never shuffled or stored.
+    """
     columns = ["doc_id", "lang", "text"]
-    labelled = docs.select(*columns).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    cutoffs = calibrate(with_features(labelled).select("doc_id", "lang", "q"), labels)
+    cutoffs = calibrate(with_features(docs.select(*columns)).select("doc_id", "lang", "q"), labels)
     rows = docs.select(*columns, F.struct("*").alias("row"))
     return decide(with_features(rows), cutoffs).filter("kept").select("row.*")
