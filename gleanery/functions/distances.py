@@ -41,30 +41,40 @@ def letters(word: Column) -> Column:
 
 
 def jaro_similarity(a: Column, b: Column) -> Column:
-    """Share of letters that match within reach of each other, less the swapped ones.
-
-    The function is defined here so that it travels to the executors by value.
-    """
-
-    def one(x: str, y: str) -> float:
-        reach = max(len(x), len(y)) // 2 - 1
-        taken, matched = set(), []
-        for i, letter in enumerate(x):
-            for j in range(max(0, i - reach), min(i + reach + 1, len(y))):
-                if j not in taken and y[j] == letter:
-                    taken.add(j)
-                    matched.append(letter)
-                    break
-        if not taken:
-            return 0.0
-        m = len(matched)
-        swapped = sum(p != y[j] for p, j in zip(matched, sorted(taken))) // 2
-        return (m / len(x) + m / len(y) + (m - swapped) / m) / 3
-
-    def batch(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype="float64")
-
-    return F.pandas_udf(batch, T.DoubleType())(a, b)
+    """Share of letters that match within reach of each other, less the swapped ones."""
+    kinds = "struct<taken:array<int>,matched:array<string>>"
+
+    def measured(p: Column) -> Column:
+        x, y, nx, ny = p["x"], p["y"], F.size(p["x"]), F.size(p["y"])
+        reach = F.floor(F.greatest(nx, ny) / 2).cast("int") - 1
+
+        def step(state: Column, letter: Column) -> Column:
+            first = F.greatest(F.lit(0), letter["i"] - reach)
+            last = F.least(letter["i"] + reach, ny - 1)
+            near = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+            free = F.filter(
+                near, lambda j: (F.get(y, j) == letter["c"]) & ~F.array_contains(state["taken"], j)
+            )
+            found = F.struct(
+                F.array_append(state["taken"], F.get(free, F.lit(0))).alias("taken"),
+                F.array_append(state["matched"], letter["c"]).alias("matched"),
+            )
+            return F.when(F.size(free) > 0, found.cast(kinds)).otherwise(state)
+
+        start = F.struct(F.array().alias("taken"), F.array().alias("matched")).cast(kinds)
+        places = F.transform(x, lambda c, i: F.struct(c.alias("c"), i.alias("i")))
+
+        def share(state: Column) -> Column:
+            m = F.size(state["taken"]).cast("double")
+            in_order = F.transform(F.array_sort(state["taken"]), lambda j: F.get(y, j))
+            moved = F.filter(F.zip_with(state["matched"], in_order, lambda c, d: c != d), lambda different: different)
+            swapped = F.floor(F.size(moved) / 2)
+            return F.when(m > 0, (m / nx + m / ny + (m - swapped) / m) / 3).otherwise(0.0)
+
+        return F.aggregate(places, start, step, share)
+
+    spelled = F.struct(F.array_remove(F.split(a, ""), "").alias("x"), F.array_remove(F.split(b, ""), "").alias("y"))
+    return F.transform(F.array(spelled), measured)[0]
 
 
 def jaro_winkler_similarity(a: Column, b: Column, p: float = 0.1, max_prefix: int = 4) -> Column:

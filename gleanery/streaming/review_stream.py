@@ -72,23 +72,39 @@ def newest(spark: SparkSession, log: str, schema: str, key: str) -> DataFrame:
     return changes.groupBy(key).agg(last).select(key, *[F.col("last")[c].alias(c) for c in values])
 
 
-def user_counts(moderated: DataFrame, limit: int, dedupe: bool = True) -> DataFrame:
+def compact(spark: SparkSession, log: str, into: str, schema: str, key: str) -> None:
+    """Write the newest row of each key of a change log as the first batch of another log.
+
+    A stream goes on in the new log with its next batch, and reads stop growing with the history. Run it between
+    batches; the old log is the caller's to remove.
+    """
+    last = spark.read.schema(schema).parquet(log).agg(F.max("batch")).scalar()
+    rows = newest(spark, log, schema, key).withColumn("batch", F.coalesce(last, F.lit(0)))
+    rows.write.mode("overwrite").partitionBy("batch").parquet(into)
+
+
+def user_counts(
+    moderated: DataFrame, limit: int, dedupe: bool = True, event_time: str | None = None, delay: str = "1 day"
+) -> DataFrame:
     """Keyed user state: impolite count and a ban that stays, since the count only grows.
 
     The state rows are an id and a number; texts are dropped before any shuffle.  With
-    `dedupe` a redelivered review id counts once, otherwise each delivery counts.
+    `dedupe` a redelivered review id counts once, otherwise each delivery counts. Ids are kept for ever
+    unless `event_time` names a column by which they are dropped `delay` after the newest review.
     """
-    marks = moderated.select("reviewId", "userId", "profanityCheck")
-    if dedupe:
+    marks = moderated.select("reviewId", "userId", "profanityCheck", *([event_time] if event_time else []))
+    if dedupe and event_time:
+        marks = marks.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["reviewId"])
+    elif dedupe:
         marks = marks.dropDuplicates(["reviewId"])
     return mod.user_bans(marks, limit)
 
 
 def start_user_counts(
-    moderated: DataFrame, log: str, checkpoint: str, limit: int, dedupe: bool = True
+    moderated: DataFrame, log: str, checkpoint: str, limit: int, dedupe: bool = True, **watermark: str
 ) -> StreamingQuery:
     """Every micro-batch logs the users whose count it changed."""
-    counts = user_counts(moderated, limit, dedupe)
+    counts = user_counts(moderated, limit, dedupe, **watermark)
     return start_batches(
         counts, checkpoint, lambda rows, batch_id: write_changes(rows, log, batch_id), "update"
     )

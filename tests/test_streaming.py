@@ -130,3 +130,29 @@ def test_timeout_stops_the_query(spark, landing, lexicon):
     query = rs.start_batches(_moderated(spark, landing, lexicon), landing.path("cp"), slow)
     assert rs.run_available(query, timeout=1) is False
     assert not query.isActive
+
+
+def test_compacted_log_has_the_newest_rows(spark, tmp_path):
+    log, into = f"{tmp_path}/log", f"{tmp_path}/compact"
+    for batch, rows in enumerate([[("u1", 1, False), ("u2", 1, False)], [("u1", 4, True)], [("u3", 2, False)]]):
+        frame = spark.createDataFrame(rows, "userId string, impoliteCount long, banned boolean")
+        rs.write_changes(frame, log, batch)
+    rs.compact(spark, log, into, rs.USER_CHANGES, "userId")
+    want = {("u1", 4, True), ("u2", 1, False), ("u3", 2, False)}
+    assert {tuple(r) for r in rs.users_table(spark, into).collect()} == want
+    rs.write_changes(spark.createDataFrame([("u2", 9, True)], "userId string, impoliteCount long, banned boolean"), into, 3)
+    assert ("u2", 9, True) in {tuple(r) for r in rs.users_table(spark, into).collect()}
+
+
+def test_ids_are_dropped_behind_the_watermark(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("r1", "u", "impolite", 1_700_000_000), ("r1", "u", "impolite", 1_700_000_000), ("r2", "u", "impolite", 1_700_000_060)],
+        "reviewId string, userId string, profanityCheck string, seconds long",
+    )
+    rows.select("reviewId", "userId", "profanityCheck", F.timestamp_seconds("seconds").alias("ts")).coalesce(1).write.parquet(
+        f"{tmp_path}/in"
+    )
+    stream = spark.readStream.schema("reviewId string, userId string, profanityCheck string, ts timestamp").parquet(f"{tmp_path}/in")
+    query = rs.start_user_counts(stream, f"{tmp_path}/log", f"{tmp_path}/cp", 1, event_time="ts", delay="1 hour")
+    rs.run_available(query)
+    assert [tuple(r) for r in rs.users_table(spark, f"{tmp_path}/log").collect()] == [("u", 2, True)]
