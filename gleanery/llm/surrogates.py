@@ -30,12 +30,14 @@ from gleanery.llm.groups import packed, sliced, unpacked
 
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
-CARD = r"(?<![\d.+-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\d-])(?!\.\d)"
+#: No digit, nor one behind a mark, may go on at either side of a number.
+BEFORE, AFTER = r"(?<![\d+])(?<!\d[.-])", r"(?!\d)(?![.-]\d)"
+CARD = rf"{BEFORE}(?:\d{{13,19}}|\d{{4}}([ -])\d{{4}}\1\d{{4}}\1\d{{1,7}}|\d{{4}}[ -]\d{{6}}[ -]\d{{5}}){AFTER}"
 PHONE = (
-    r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    r"|(?<![\w.+-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\d-])(?!\.\d)"
+    r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+    rf"|{BEFORE}(?:\(\d{{3}}\) ?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}{AFTER}"
 )
-SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
+SSN = rf"{BEFORE}\d{{3}}-\d{{2}}-\d{{4}}{AFTER}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d])(?!\.\d)"
 FEMALE = "Mrs Ms Miss Frau Mme Madame Sra Señora Signora г-жа Госпожа κυρία".split()
 MALE = "Mr Herr M Monsieur Sr Señor Signor г-н Господин κύριος".split()

@@ -26,6 +26,15 @@ def test_entities():
     assert kinds("Version 2.0 of 2024-01-02, page 12, 1.2.3.4.5, 300.1.1.1, a@b, 12 345 678") == []
 
 
+def test_entities_next_to_other_characters():
+    for mark in ("", ".", "-", "#", "x", "(", "="):
+        for value, kind in (("4785380592391139", "card"), ("078-05-1120", "ssn"), ("+1 (771) 555-1655", "phone")):
+            assert kinds(f"ab{mark}{value}{mark} cd") == [(value, kind)], (mark, value)
+    assert kinds("THAT.92@MAIL2.EXAMPLE.COM###!!233.233.171.252!!") == [
+        ("THAT.92@MAIL2.EXAMPLE.COM", "email"), ("233.233.171.252", "ip")
+    ]
+
+
 def test_draws_keep_type_and_format():
     for attempt in range(8):  # later draws of names and addresses grow longer
         card = surrogates.draw(KEY, "card", "4111111111111111", attempt)
