@@ -27,8 +27,9 @@ MULTIPLIERS = ((mix(np.arange(1, 1025, dtype=np.uint64)) & np.uint64(0xFFFFFFFF)
 N_HASHES = 32
 LENGTH = 2
 CHUNK_CHARS = 1 << 17
-BUCKET_BYTES = 16 << 20
-LEAST_BUCKETS = 48
+#: Text of a bucket; besides, a small table is cut into a few buckets.
+BUCKET_BYTES = 4 << 20
+LEAST_BUCKETS = 8
 ROWS = 500
 
 U32 = np.uint32
