@@ -33,8 +33,9 @@ from gleanery.llm.groups import packed, unpacked
 from gleanery.llm.hashing import U64, buffers, gram_starts, grams, mix, word_bounds, word_hashes
 
 WINDOW = 20
-BUCKET_BYTES = 32 << 20
-LEAST_BUCKETS = 48
+#: Text of a bucket. Messages number buckets times shards, so corpora of many terabytes want larger buckets.
+BUCKET_BYTES = 8 << 20
+LEAST_BUCKETS = 16
 MESSAGE = "bucket int, shard int, kind int, data binary"
 HASH, ANSWER, OWN = 0, 1, 2
 
