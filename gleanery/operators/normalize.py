@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.tokenize import merged_text
 from gleanery.functions.words import words
 from gleanery.operators.tagging import DEFAULT_TAG, word_class
+from gleanery.sources.tables import ensure_checkpoint_dir
 
 # Suffix -> ending of the candidate lemma, per word class.
 SUFFIXES = {
@@ -104,19 +105,16 @@ def token_places(documents: DataFrame, key: str, stop_words: DataFrame, text: st
 
 
 def normalized(
-    documents: DataFrame, key: str, text: str = "text", *, stop_words: DataFrame, salts: int = 16, **models: DataFrame
+    documents: DataFrame, key: str, text: str = "text", *, stop_words: DataFrame, **models: DataFrame
 ) -> DataFrame:
     """key and `tokens`: lemmas in text order, doubles kept; an empty list where nothing is left.
 
-    The distinct tokens and the join read one exchange of the texts' tokens. It is dealt by token and one of `salts`
-    parts of the keys, so that a token that every text holds is spread over as many tasks.
+    The tokens of the texts are written to the shared folder once; their distinct forms and the join read them there.
     """
-    salt = F.pmod(F.xxhash64(key), F.lit(salts)).alias("_salt")
-    places = token_places(documents, key, stop_words, text).select("*", salt).repartition("token", "_salt")
-    distinct = places.select("token", "_salt").distinct()
-    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("_salt")
-    forms = normal_forms(distinct, **models).select("token", "lemma", every)
-    lists = places.join(forms, ["token", "_salt"]).groupBy(key).agg(
+    ensure_checkpoint_dir(documents.sparkSession)
+    places = token_places(documents, key, stop_words, text).checkpoint()
+    forms = normal_forms(places, **models)
+    lists = places.join(forms, "token").groupBy(key).agg(
         F.collect_list(F.struct("places", "lemma")).alias("_found")
     )
     spread = F.flatten(
