@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from gleanery.llm.frames import text_bytes
 from gleanery.llm.groups import packed, unpacked
-from gleanery.llm.hashing import U64, buffers, gram_starts, grams, mix, word_bounds, word_hashes
+from gleanery.llm.hashing import U64, buffers, gram_starts, grams, word_bounds, word_hashes
 
 WINDOW = 20
 #: Text of a bucket. Messages number buckets times shards, so corpora of many terabytes want larger buckets.

@@ -17,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from gleanery.llm.frames import SPACES, WORD_CHARACTER, kept, let
