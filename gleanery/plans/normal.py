@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from gleanery.functions import words as w
-from gleanery.functions.messages import ENTITIES, message_tokens
+from gleanery.functions.messages import message_tokens
 from gleanery.functions.tokenize import letter_words
 from gleanery.operators import normalize, tagging
 from gleanery.operators.moderation import deduplicated, with_review_id
@@ -301,7 +301,8 @@ def _message_sql() -> str:
     emoticon = f"(?:[<>]?[:;=8][\\-o*'']?{mouth}|{mouth}[\\-o*'']?[:;=8][<>]?|</?3)"
     inner = word[1:-1]
     kinds = [
-        f"(?:https?://|www\\.)[^{blank}<>\"]+[^{blank}<>\".,;:!?'')\\]]",
+        f"(?:https?:(?:/{{1,3}}|[a-z0-9%])|[a-z0-9.\\-]+[.][a-z]{{2,13}}/)[^{blank}()<>{{}}\\[\\]]+[^{blank}`!()\\[\\]{{}};:''\".,<>?«»“”‘’]",
+        "[a-z0-9]+(?:[.\\-][a-z0-9]+)*[.][a-z]{2,13}\\b/?",
         f"(?:(?:\\+?[01][ *\\-.)]*)?(?:\\(?{digit}{{3}}[ *\\-.)]*)?{digit}{{3}}[ *\\-.)]*{digit}{{4}})",
         emoticon,
         f"<[^>{blank}]+>",
@@ -316,7 +317,7 @@ def _message_sql() -> str:
         f"[^{blank}]",
     ]
     text = "text"
-    for entity, character in ENTITIES:
+    for entity, character in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]:
         character = character.replace("'", "''")
         text = f"replace({text}, '{entity}', '{character}')"
     for mark in ["\\.", "!", "\\?", "\\*", "#", "-", "=", "_", "~", "%", " ", "\\n"]:

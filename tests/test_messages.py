@@ -17,6 +17,10 @@ CASES = [
      "Don't mail a.b@c.org or call 123-456-7890 & see http://x.org/a?b=1 , OK"),
     ("It cost 3.50, well-known :D LOUD", {"preserve_case": False}, "it cost 3.50 , well-known :D loud"),
     ("@user_1 says hi....", {}, "@user_1 says hi ..."),
+    ("Price: &pound;100 &eacute;t&#233; &#x41;&#128; &nosuch;x &amp;lt; A&B", {}, "Price : £ 100 été A € x & lt ; A & B"),
+    ("see example.com, sub.example.co.uk/ or foo.na@example.com", {}, "see example.com , sub.example.co.uk/ or foo.na@example.com"),
+    ("\U0001F468\u200d\U0001F469\u200d\U0001F467 \U0001F44D\U0001F3FD \U0001F1E9\U0001F1EA\U0001F1EB\U0001F1F7", {},
+     "\U0001F468\u200d\U0001F469\u200d\U0001F467 \U0001F44D\U0001F3FD \U0001F1E9\U0001F1EA \U0001F1EB\U0001F1F7"),
 ]
 
 
