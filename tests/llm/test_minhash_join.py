@@ -7,11 +7,11 @@ from corpus_cases import ODD, WORD
 from gleanery.llm import groups, minhash_join, queries
 
 
-def shingles(text):
+def shingles(text, size=3):
     words = WORD.findall(re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
-    if len(words) < 3:
+    if len(words) < size:
         return frozenset([tuple(words)] if words else [])
-    return frozenset(tuple(words[i : i + 3]) for i in range(len(words) - 2))
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
 
 
 def components(pairs):
@@ -29,8 +29,8 @@ def components(pairs):
     return find
 
 
-def expected(rows, percent=85):
-    sets = [(i, shingles(t)) for i, t in rows]
+def expected(rows, percent=85, size=3):
+    sets = [(i, shingles(t, size)) for i, t in rows]
     known = [(i, s) for i, s in sets if i is not None and s]
     linked = [
         (a, b)
@@ -51,7 +51,7 @@ def test_odd_rows(odd, empty):
     assert sorted(map(tuple, got.collect()), key=key) == sorted(expected(ODD), key=key)
     left = minhash_join.deduplicated(odd)
     assert left.columns == odd.columns
-    gone = {r[0] for r in expected(ODD) if not r[3]}
+    gone = {r[0] for r in expected(ODD, 80, 5) if not r[3]}
     assert sorted(map(str, (r.doc_id for r in left.collect()))) == sorted(str(i) for i, _ in ODD if i not in gone)
     assert minhash_join.near_duplicates(empty).count() == 0
     assert minhash_join.deduplicated(empty).count() == 0

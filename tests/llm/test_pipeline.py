@@ -33,7 +33,7 @@ def test_columns_stay(staged):
 
 def test_near_duplicates_stage(staged):
     before = [(r.doc_id, r.text) for r in staged["quality_rules"].collect()]
-    kept = {i for i, _, _, stays in near_expected(before) if stays}
+    kept = {i for i, _, _, stays in near_expected(before, 80, 5) if stays}
     assert sorted(r.doc_id for r in staged["near_duplicates"].collect()) == sorted(kept)
 
 
