@@ -5,6 +5,8 @@ and names after a title. Each distinct entity of the corpus (its type and normal
 spellings is one entity) gets one surrogate, drawn from an HMAC of the entity under the caller's key, and every
 mention of it gets that surrogate in the mention's own spelling: mentions that referred to one thing still do. Given
 names and surnames are entities of their own, so that a surname keeps its surrogate with and without a given name.
+A name that stands behind a title anywhere in a text is looked for in all of it, as a whole word that starts with a
+capital; the initials between title and surname stay.
 
 Distinct entities must keep apart, so each round of assignment checks all draws of the corpus against each other,
 against those settled before and against the originals; the entity with the smallest normal form keeps a contested
@@ -14,6 +16,7 @@ A null text stays null, a text without entities stays as it is. Rows are told ap
 repeated ids do no harm.
 """
 
+import bisect
 import hashlib
 import hmac
 import re
@@ -42,8 +45,18 @@ IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\
 FEMALE = "Mrs Ms Miss Frau Mme Madame Sra Señora Signora г-жа Госпожа κυρία".split()
 MALE = "Mr Herr M Monsieur Sr Señor Signor г-н Господин κύριος".split()
 NEUTRAL = "Dr Prof".split()
-NAME = r"[^\W\d_]+(?:[-'][^\W\d_]+)*"
-TITLED = re.compile(rf"(?<!\w)({'|'.join(FEMALE + MALE + NEUTRAL)})\.? ({NAME})(?: ({NAME}))?")
+LETTERS = r"[^\W\d_]+"
+NAME = rf"{LETTERS}(?:[-'’]{LETTERS})*"
+#: Titles that are words or abbreviations of others count only with their dot.
+DOTTED = ("M", "Sr", "Sra")
+PARTICLES = "von van de der den del della di da dos du la le zu zum zur y bin ibn al el ten ter".split()
+TITLE = "|".join([rf"(?:{'|'.join(DOTTED)})\.", rf"(?:{'|'.join(t for t in FEMALE + MALE + NEUTRAL if t not in DOTTED)})\.?"])
+TITLED = re.compile(rf"(?<!\w)((?:(?:{TITLE})\s+)+)({NAME})")
+#: What ends a name, or stands before the next one.
+NO_NAME = {*FEMALE, *MALE, *NEUTRAL, "Jr"} - {"M"}
+#: What may follow a part of a name: an initial's dot, particles, and the next part in the same line.
+NEXT = re.compile(rf"(?:\.[^\S\r\n]*|[^\S\r\n]+)(?:(?:{'|'.join(PARTICLES)})[^\S\r\n]+)*({NAME})")
+WORD = re.compile(rf"(?<!\w){NAME}(?!\w)")
 #: Patterns in order of precedence: a later one gives way where it overlaps an earlier one.
 PATTERNS = [
     ("email", re.compile(EMAIL)),
@@ -103,18 +116,71 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 normal = "+" + digits
             taken.append(span)
             found.append((*span, kind, normal))
+    return sorted(found + names(text, sorted(taken)))
+
+
+def name_parts(text: str, first: re.Match) -> list[tuple[int, int]]:
+    """Spans of the parts of a titled name, without initials unless there is nothing else."""
+    spans, m, group = [], first, 2
+    while m and m[group][0].isupper() and m[group] not in NO_NAME:
+        a, b = m.span(group)
+        if text[a:b].endswith(("'s", "’s")):
+            spans.append((a, b - 2))
+            break
+        spans.append((a, b))
+        m, group = NEXT.match(text, b), 1
+        if m and text[b] == "." and b - a > 1:
+            break
+    return [(a, b) for a, b in spans if b - a > 1] or spans[-1:]
+
+
+def names(text: str, taken: list[tuple[int, int]]) -> list[tuple[int, int, str, str]]:
+    """Titled names, and every other mention of them in the text; `taken` are the spans of other entities, in order."""
+    found: dict[tuple[int, int], str] = {}
+    alone, known, genders = [], {}, {}
     for m in TITLED.finditer(text):
-        title, given, surname = m.groups()
-        if not given[0].isupper() or (title in ("M", "Sr", "Sra") and text[m.end(1)] != "."):
-            continue
-        gender = "f" if title in FEMALE else "m" if title in MALE else "x"
-        parts = [(m.span(2), "given_" + gender), (m.span(3), "surname")]
-        if not surname or not surname[0].isupper():
-            parts = [(m.span(2), "surname")]
-        for (a, b), kind in parts:
-            if not any(x < b and a < y for x, y in taken):
-                found.append((a, b, kind, text[a:b].casefold()))
-    return sorted(found)
+        titles = [t.rstrip(".") for t in m[1].split()]
+        gender = next(("f" if t in FEMALE else "m" for t in titles if t not in NEUTRAL), "x")
+        parts = name_parts(text, m)
+        if len(parts) == 1:
+            alone += parts
+        for i, (a, b) in enumerate(parts if len(parts) > 1 else []):
+            normal = text[a:b].casefold()
+            found[a, b] = "surname" if i else "given"
+            known.setdefault(normal, found[a, b])
+            if not i and genders.get(normal, "x") == "x":
+                genders[normal] = gender
+    for a, b in alone:
+        found[a, b] = known.setdefault(text[a:b].casefold(), "surname")
+    if not known:
+        return []
+    found = {span: kind for span, kind in found.items() if not overlaps(taken, *span)}
+    longest = max(len(re.split("[-'’]", n)) for n in known)
+    spans = sorted([*taken, *found])
+    for m in WORD.finditer(text):
+        pieces = [(m.start() + p.start(), m.start() + p.end()) for p in re.finditer(LETTERS, m.group())]
+        i = 0
+        while i < len(pieces):
+            for j in range(min(len(pieces), i + longest), i, -1):
+                a, b = pieces[i][0], pieces[j - 1][1]
+                kind = known.get(text[a:b].casefold()) if text[a].isupper() else None
+                if kind and not overlaps(spans, a, b):
+                    found[a, b] = kind
+                    break
+            else:
+                j = i + 1
+            i = j
+    entities = []
+    for (a, b), kind in found.items():
+        normal = text[a:b].casefold()
+        entities.append((a, b, f"given_{genders[normal]}" if kind == "given" else kind, normal))
+    return entities
+
+
+def overlaps(spans: list[tuple[int, int]], a: int, b: int) -> bool:
+    """Whether any of the spans, which are in order and apart, has a part between a and b."""
+    i = bisect.bisect_left(spans, (b, b))
+    return i > 0 and spans[i - 1][1] > a
 
 
 class Draws:

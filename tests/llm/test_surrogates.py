@@ -35,6 +35,33 @@ def test_entities_next_to_other_characters():
     ]
 
 
+def test_every_mention_of_a_name():
+    cases = {
+        "Mr. John Miller called. Miller paid; John left, MILLER's bill too.": "John Miller Miller John MILLER",
+        "Anna Schmidt? Frau Dr. Schmidt's Hund": "Schmidt Schmidt",
+        "Mr. John Q. Smith and Smith": "John Smith Smith",
+        "Mr. J. R. Smith I know Mr. J.R. Smith Jr.": "Smith Smith",
+        "Mr. John Mr. Miller. Mr Dr": "John Miller",
+        "Mr. John@x.org and Mr. John, John@x.org": "John@x.org John John@x.org",
+        "Dr. Maria Garcia Lopez; Lopez-Garcia": "Maria Garcia Lopez Lopez Garcia",
+        "Mr.  Miller, Mr.\nJones. He met Mrs O’Brien": "Miller Jones O’Brien",
+        "Mr. Ludwig van Beethoven, Mr. Ludwig": "Ludwig Beethoven Ludwig",
+        "Dear Mr. Brown\nThe brown dog of Brownie, brown@x.org": "Brown brown@x.org",
+    }
+    for text, want in cases.items():
+        assert [x for x, _ in kinds(text)] == want.split(), text
+    entities = surrogates.find("Mr. John Miller met Dr. John Miller, Mr. John and John.")
+    assert {(kind, normal) for _, _, kind, normal in entities} == {("given_m", "john"), ("surname", "miller")}
+
+
+def test_no_later_mention_survives(spark):
+    docs = spark.createDataFrame([(1, "Mr. John Miller called. Miller paid; John left.")], "doc_id long, text string")
+    [row] = surrogates.replaced(docs, KEY).collect()
+    given, surname = re.match(r"Mr\. (\w+) (\w+) called", row.text).groups()
+    assert row.text == f"Mr. {given} {surname} called. {surname} paid; {given} left." and row.n_entities == 4
+    assert not {"John", "Miller"} & {given, surname}
+
+
 def test_draws_keep_type_and_format():
     for attempt in range(8):  # later draws of names and addresses grow longer
         card = surrogates.draw(KEY, "card", "4111111111111111", attempt)
