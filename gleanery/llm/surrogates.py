@@ -36,10 +36,18 @@ IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?
 #: No digit, nor one behind a mark, may go on at either side of a number.
 BEFORE, AFTER = r"(?<![\d+])(?<!\d[.-])", r"(?!\d)(?![.-]\d)"
 CARD = rf"{BEFORE}(?:\d{{13,19}}|\d{{4}}([ -])\d{{4}}\1\d{{4}}\1\d{{1,7}}|\d{{4}}[ -]\d{{6}}[ -]\d{{5}}){AFTER}"
-PHONE = (
-    r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
-    rf"|{BEFORE}(?:\(\d{{3}}\) ?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}{AFTER}"
-)
+GROUPS = r"\d{1,4}(?:[ .-]?\d{1,4}){1,6}"
+DATE = r"0\d[ ./-][01]\d[ ./-](?:19|20)\d\d(?!\d)"
+#: International numbers behind + or 00; North American ones; those with a trunk 0; Spanish ones.
+PHONE = "|".join([
+    rf"(?<![\d+])\+\d{{1,3}}[ .-]?(?:\(\d{{1,4}}\)[ .-]?)?{GROUPS}(?!\d)",
+    rf"{BEFORE}00 ?[1-9]\d{{0,2}}(?:[ .-]|[ .-]?\(\d{{1,4}}\)[ .-]?){GROUPS}{AFTER}",
+    rf"{BEFORE}(?:1[ .-]?)?(?:\(\d{{3}}\)[ .-]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}{AFTER}",
+    rf"{BEFORE}1?[2-9]\d{{2}}[2-9]\d{{6}}{AFTER}",
+    rf"{BEFORE}(?!{DATE})(?:\(0[1-9]\d{{0,4}}\)(?: ?[/-] ?|[ .])?|0[1-9]\d{{0,4}}(?: ?[/-] ?|[ .]))\d{{2,8}}(?:[ .-]\d{{2,4}}){{0,4}}{AFTER}",
+    rf"{BEFORE}0[1-9]\d{{8,9}}{AFTER}",
+    rf"{BEFORE}(?:[6-9]\d{{2}}[ .-]\d{{2}}|9\d[ .-]\d{{3}})[ .-]\d{{2}}[ .-]\d{{2}}{AFTER}",
+])
 SSN = rf"{BEFORE}\d{{3}}-\d{{2}}-\d{{4}}{AFTER}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d])(?!\.\d)"
 FEMALE = "Mrs Ms Miss Frau Mme Madame Sra Señora Signora г-жа Госпожа κυρία".split()
@@ -97,6 +105,28 @@ def iban_valid(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
+def fitting(value: str, start: int, taken: list[tuple[int, int]]) -> str:
+    """A number without its last groups where it would run into another entity or have more than 15 digits."""
+    end = min((a for a, _ in taken if a > start), default=start + len(value)) - start
+    while len(value) > end or sum(c.isdigit() for c in value) > 15:
+        shorter = re.sub(r"[^\d]+\d*$", "", value[:-1])
+        if shorter == value[:-1]:
+            break
+        value = shorter
+    return value
+
+
+def dialled(value: str, digits: str) -> str:
+    """A phone number with its country's code, where it is given or it is a North American number."""
+    if value[0] == "+":
+        return "+" + digits
+    if digits.startswith("00"):
+        return "+" + digits[2:]
+    if len(digits) == 11 and digits[0] == "1":
+        return "+" + digits
+    return "+1" + digits if len(digits) == 10 and digits[0] != "0" else digits
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """Entities of a text: (start, end, type, normal form), in order and without overlaps."""
     found: list[tuple[int, int, str, str]] = []
@@ -104,6 +134,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     for kind, pattern in PATTERNS if HINT.search(text) else []:
         for m in pattern.finditer(text):
             value, span = m.group(), m.span()
+            if kind == "phone":
+                value = fitting(value, span[0], taken)
+                span = (span[0], span[0] + len(value))
             if any(a < span[1] and span[0] < b for a, b in taken):
                 continue
             digits = re.sub(r"\D", "", value)
@@ -112,8 +145,8 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
             if kind == "phone" and not 7 <= len(digits) <= 15:
                 continue
             normal = {"email": value.lower(), "iban": value.replace(" ", ""), "ip": value}.get(kind, digits)
-            if kind == "phone" and value[0] == "+":
-                normal = "+" + digits
+            if kind == "phone":
+                normal = dialled(value, digits)
             taken.append(span)
             found.append((*span, kind, normal))
     return sorted(found + names(text, sorted(taken)))
@@ -236,10 +269,14 @@ def draw(key: bytes, kind: str, normal: str, attempt: int) -> str:
         head = first if first in ("10", "127", "192") else str(11 + d.below(112))
         return ".".join([head] + [str(d.below(256)) for _ in range(3)])
     if kind == "phone":
+        if normal[:2] == "+1" and len(normal) == 12:
+            return f"+1{2 + d.below(8)}{d.like(normal[3:5])}{2 + d.below(8)}{d.like(normal[6:])}"
         if normal[0] == "+":
             cut = 2 if normal[1] in "17" else 3
             return normal[:cut] + str(2 + d.below(8)) + d.like(normal[cut + 1 :])
-        return str(2 + d.below(8)) + d.like(normal[1:])
+        if normal[0] == "0":
+            return f"0{2 + d.below(8)}{d.like(normal[2:])}"
+        return normal[0] + d.like(normal[1:])
     script = script_of(normal)
     if script not in SYLLABLES:
         return "".join(chr(ord(c) + 1 + d.below(3)) if c.isalpha() else c for c in normal) + normal[-1] * (attempt // 8)
@@ -254,7 +291,10 @@ def spelled(kind: str, mention: str, surrogate: str) -> str:
     if kind == "email":
         return surrogate.upper() if mention.isupper() else surrogate
     if kind in ("card", "phone", "ssn", "iban"):
-        left = iter(surrogate.lstrip("+"))
+        digits = surrogate.lstrip("+")
+        if kind == "phone":
+            digits = ("00" + digits)[-sum(c.isdigit() for c in mention) :]
+        left = iter(digits)
         return "".join(next(left) if c.isalnum() else c for c in mention)
     if kind == "ip":
         return surrogate

@@ -26,6 +26,28 @@ def test_entities():
     assert kinds("Version 2.0 of 2024-01-02, page 12, 1.2.3.4.5, 300.1.1.1, a@b, 12 345 678") == []
 
 
+def test_forms_of_phone_numbers():
+    forms = (
+        "+33 6 12 34 56 78", "1-800-555-0199", "1.212.555.0199", "(800)-555-0199", "8005550199", "18005550199",
+        "1 (800) 555-0199", "030 1234567", "(030) 12345678", "030/1234567", "06 12 34 56 78", "06.12.34.56.78",
+        "0612345678", "0044 20 7946 0958", "020 7946 0958", "612 34 56 78", "91 123 45 67", "800-555-0199",
+    )
+    for form in forms:
+        for a, b in (("call ", " now"), ("(", ")"), ("", "."), ("x", "x")):
+            [(start, end, kind, normal)] = surrogates.find(a + form + b)
+            assert ((a + form + b)[start:end], kind) == (form, "phone")
+            for attempt in range(20):
+                new = surrogates.spelled("phone", form, drawn := surrogates.draw(KEY, "phone", normal, attempt))
+                assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", form)
+                assert [(x[2], x[3]) for x in surrogates.find(a + new + b)] == [("phone", drawn)], (form, new)
+    same = ("+1 800 555 0199", "1-800-555-0199", "(800)-555-0199", "8005550199")
+    assert {surrogates.find(x)[0][3] for x in same} == {"+18005550199"}
+    assert surrogates.find("0044 20 7946 0958")[0][3] == surrogates.find("+44 20 7946 0958")[0][3]
+    assert kinds("+33 6 12 34 56 78 4111 1111 1111 1111") == [("+33 6 12 34 56 78", "phone"), ("4111 1111 1111 1111", "card")]
+    assert kinds("+44 20 794 609 581 220 100 200")[0] == ("+44 20 794 609 581 22"[:18], "phone")
+    assert kinds("on 01.02.2024, 01/02/2024, 01-02-2024 10:30, 0.1234567, 1600000000, 2024-01-02 03:04:05") == []
+
+
 def test_entities_next_to_other_characters():
     for mark in ("", ".", "-", "#", "x", "(", "="):
         for value, kind in (("4785380592391139", "card"), ("078-05-1120", "ssn"), ("+1 (771) 555-1655", "phone")):
