@@ -9,8 +9,8 @@ divided by the number of rules, so that all rules together reject at most `risk`
 stratum, with probability 1 - `level`.
 
 A null text has no words. A null stratum, and all but the `max_strata` strata with the most labels, are pooled into
-one stratum of their own. Without labels no cutoff can be proven and only the base rule rejects. A document labelled
-more than once counts once, and as good only if every label says so. Extra columns of the input are kept.
+one stratum of their own. Without labels no cutoff can be proven and only the base rule rejects. A stratum that was
+tested and proved nothing has no cutoff, and takes none of the pooled stratum's. A document labelled more than once counts once, and as good only if every label says so. Extra columns of the input are kept.
 """
 
 from functools import reduce
@@ -145,7 +145,9 @@ def calibrate(
     max_strata: int = 64,
     rules: dict = RULES,
 ) -> DataFrame:
-    """Proven cutoffs: stratum (null: the pooled one), rule, cutoff, n_good, n_rejected.
+    """Proven cutoffs: stratum (null: the pooled one), rule, cutoff, n_good, n_rejected, tested.
+
+    `tested` names every stratum that has tests of its own, whether or not they proved a cutoff.
 
     `features` has `key`, `stratum` and `q`. Only documents that pass the base rule are in the holdout, since only
     they can be rejected by these rules. Counts are partial per task; what follows has a row for each stratum, rule
@@ -169,6 +171,7 @@ def calibrate(
         .groupBy("stratum")
         .agg(F.sum("n_good").alias("n_good"), *[F.sum(f"k{i}").alias(f"k{i}") for i in range(len(strict))])
     )
+    everything = Window.partitionBy(F.lit(1))
     tests = F.array(
         *[
             F.struct(
@@ -181,23 +184,27 @@ def calibrate(
         ]
     )
     tested = (
-        pooled.select("stratum", "n_good", F.count("*").over(Window.partitionBy(F.lit(1))).alias("s"), F.inline(tests))
+        pooled.withColumn("s", F.count("*").over(everything))
+        .withColumn("tested", F.collect_set("stratum").over(everything))
+        .select("stratum", "n_good", "s", "tested", F.inline(tests))
         .withColumn("p", binomial_tail(F.col("n_rejected"), F.col("n_good"), risk / len(rules)))
         .withColumn("passed", F.col("p") <= F.lit(level) / (F.col("s") * len(rules)))
     )
     so_far = Window.partitionBy("stratum", "rule").orderBy("step")
     proven = tested.withColumn("passed", F.min("passed").over(so_far)).filter("passed")
-    last = F.struct("step", "cutoff", "n_good", "n_rejected")
+    last = F.struct("step", "cutoff", "n_good", "n_rejected", "tested")
     return proven.groupBy("stratum", "rule").agg(F.max(last).alias("t")).select("stratum", "rule", "t.*").drop("step")
 
 
 def decide(features: DataFrame, cutoffs: DataFrame, stratum: str = "lang", rules: dict = RULES) -> DataFrame:
     """Add `kept`: neither the base rule nor a proven cutoff of the document's stratum rejects it.
 
+    The pooled cutoffs go to the documents of no tested stratum.
+
     The cutoffs, at most (max_strata + 1) rows a rule, become constants of the plan, so the documents aren't shuffled.
     """
     proven = cutoffs.collect()
-    strata = {r["stratum"] for r in proven if r["stratum"] is not None}
+    strata = {name for r in proven for name in r["tested"]}
     group = F.when(F.col(stratum).isin(*strata), F.col(stratum)) if strata else F.lit(None).cast("string")
     rejected = [F.col("q.base_failed")]
     for name, (sign, _) in rules.items():

@@ -58,6 +58,19 @@ def test_cutoffs_keep_the_risk(spark):
     assert kept == {1: False, 2: True, 3: True, 4: True}
 
 
+def test_unproven_strata_take_no_pooled_cutoff(spark):
+    # 4000 good documents without a language prove cutoffs, 50 of "b" and 200 of "c" prove none.
+    counts = [(None, 4000), ("b", 50), ("c", 200)]
+    rows = [(10000 * j + i, lang, 0.0) for j, (lang, n) in enumerate(counts) for i in range(n)]
+    labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
+    cutoffs = quality_rules.calibrate(features_with(spark, rows), labels)
+    assert {r.stratum for r in cutoffs.collect()} == {None}
+    assert {tuple(sorted(r.tested)) for r in cutoffs.collect()} == {("b", "c")}
+    new = features_with(spark, [(1, None, 0.9), (2, "b", 0.9), (3, "c", 0.9), (4, None, 0.0)])
+    kept = {r.doc_id: r.kept for r in quality_rules.decide(new, cutoffs).collect()}
+    assert kept == {1: False, 2: True, 3: True, 4: True}
+
+
 def test_small_strata_are_pooled(spark):
     rows = [(i, f"l{i % 40}", 0.0) for i in range(8000)]
     labels = spark.createDataFrame([(r[0], 1) for r in rows], "doc_id long, quality int")
