@@ -1,3 +1,4 @@
+import inspect
 import math
 import random
 from collections import Counter
@@ -19,6 +20,7 @@ from gleanery.operators import (
     ngrams,
     textpairs,
 )
+from gleanery.plans import registry
 
 
 @pytest.fixture
@@ -334,3 +336,20 @@ def test_counts_of_every_condition(spark):
     rows = spark.createDataFrame([("x", "p"), ("x", "p"), ("y", "q"), (None, "p")], "lang string, term string")
     got = {tuple(r) for r in frequency.tabulated(rows, "lang", "term").collect()}
     assert got == {("p", "x", 2), ("p", "y", 0), ("q", "x", 0), ("q", "y", 1)}
+
+
+def test_registered_classifier_searches_the_full_grid(spark, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def asked(*args, **kwargs):
+        bound = inspect.signature(fit).bind(*args, **kwargs)
+        bound.apply_defaults()
+        raise Asked(bound.arguments["grid"], bound.arguments["folds"])
+
+    fit = classify.fit_classifier
+    monkeypatch.setattr(classify, "fit_classifier", asked)
+    with pytest.raises(Asked) as found:
+        registry.queries()["classifier_f1"](spark, "/root/testdata/sf0.001")
+    grid, folds = found.value.args
+    assert math.prod(len(values) for values in grid.values()) == 24 and folds == 3
