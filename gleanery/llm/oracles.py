@@ -113,10 +113,90 @@ rejected AS (SELECT DISTINCT doc_id FROM valued v LEFT JOIN strata s ON s.lang I
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM rejected) AS kept FROM features"""
 
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Unsigned crc32 of the decimal ids: one row per document, from a table of all bytes' remainders.
+CRC32 = """bits AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)
+    ORDER BY b) AS tab FROM range(256) t(b)),
+seeds AS (SELECT doc_id, xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT)),
+    lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1]), 4294967295), 4294967295) AS h FROM documents, bits)"""
+
+RUNS = f"""WITH {CRC32},
+plain AS (SELECT d.doc_id, {WORDS} AS ws, h FROM documents d JOIN seeds s USING (doc_id)),
+sized AS (SELECT *, len(ws) AS n, CASE WHEN len(ws) > 0 THEN (h // 10) % len(ws) END AS a FROM plain),
+texts AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM sized),
+ws AS (SELECT doc_id, i, ws[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS w
+       FROM texts, unnest(range(n)) t(i)),
+often AS (SELECT doc_id, w, i FROM ws QUALIFY count(*) OVER (PARTITION BY doc_id, w) >= 4),
+equal AS (SELECT x.doc_id, y.i - x.i AS q, x.i FROM often x JOIN often y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i
+          JOIN texts t ON t.doc_id = x.doc_id AND 4 * (y.i - x.i) <= t.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM equal),
+stretches AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM islands GROUP BY doc_id, q, island
+              HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT * FROM stretches a WHERE NOT EXISTS (SELECT 1 FROM stretches b
+           WHERE b.doc_id = a.doc_id AND b.q < a.q AND a.q % b.q = 0 AND b.s <= a.s AND b.s + b.len >= a.s + a.len)),
+gone AS (SELECT DISTINCT doc_id, t.i FROM runs, unnest(range(s + q, s + len)) t(i)),
+left_over AS (SELECT ws.doc_id, string_agg(w, ' ' ORDER BY ws.i) AS kept FROM ws ANTI JOIN gone
+              ON gone.doc_id = ws.doc_id AND gone.i = ws.i GROUP BY ws.doc_id),
+told AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listed FROM runs GROUP BY doc_id),
+ratios AS (SELECT doc_id, s, len, q, row_number() OVER (PARTITION BY doc_id ORDER BY len::DOUBLE / q::DOUBLE DESC, s, q) AS place FROM runs)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.len AS length, b.q AS period, (1000 * b.len) // b.q AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN told USING (doc_id) LEFT JOIN ratios b ON b.doc_id = d.doc_id AND b.place = 1
+LEFT JOIN left_over l ON l.doc_id = d.doc_id"""
+
+
+def _tree(name: str, leaves: str, levels: int) -> list[str]:
+    """Tables of a tree's levels: <name>0 on with (scope, pos, d, n), and <name>p0 on with a node's siblings in front and behind."""
+    made = [f"{name}0 AS ({leaves})"]
+    for i in range(levels):
+        made.append(f"""{name}p{i} AS (SELECT scope, pos, n > 1 AS up,
+          coalesce(string_agg(d, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+          coalesce(string_agg(d, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS behind
+          FROM {name}{i} WINDOW run AS (PARTITION BY scope, pos // 8 ORDER BY pos))""")
+        made.append(f"""{name}{i + 1} AS (SELECT scope, pos // 8 AS pos, CASE WHEN max(n) > 1 THEN sha256(string_agg(d, '' ORDER BY pos))
+          ELSE min(d) END AS d, (max(n) + 7) // 8 AS n FROM {name}{i} GROUP BY scope, pos // 8)""")
+    return made
+
+
+def _folds(name: str, levels: int, start: str, spot: str) -> list[str]:
+    """Tables that fold the rows of `start` (scope, pos, f, proof, ...) up the tree: a node's digest and its siblings so far."""
+    made = []
+    for i in range(levels):
+        made.append(f"""{name}f{i + 1} AS (SELECT x.* REPLACE (CASE WHEN up THEN sha256(before || f || behind) ELSE f END AS f,
+          CASE WHEN up THEN proof || before || behind ELSE proof END AS proof)
+          FROM {start if not i else f"{name}f{i}"} x JOIN {name}p{i} p ON p.scope = x.{spot[0]} AND p.pos = x.{spot[1]} // {8**i})""")
+    return made
+
+
+def _leaf(text: str) -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", text]
+    parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+#: Levels that the SQL climbs: up to 8^8 documents of a language, and 8^4 languages.
+DEEP, HIGH = 8, 4
+
+MERKLE = f"""WITH {CRC32},
+leaves AS (SELECT d.doc_id, lang, {_leaf("text")} AS leaf,
+    CASE WHEN h % 3 = 0 THEN {_leaf(LOWERED.format("text"))} ELSE {_leaf("text")} END AS f FROM documents d LEFT JOIN seeds USING (doc_id)),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS scope, count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+{", ".join(_tree("low", "SELECT scope, pos, leaf AS d, n FROM ordered", DEEP))},
+{", ".join(_tree("top", f"SELECT 0 AS scope, scope AS pos, d, count(*) OVER () AS n FROM low{DEEP}", HIGH))},
+started AS (SELECT doc_id, leaf, scope, pos, f, '' AS proof, 0 AS whole FROM ordered),
+{", ".join(_folds("low", DEEP, "started", ("scope", "pos")))},
+{", ".join(_folds("top", HIGH, f"lowf{DEEP}", ("whole", "scope")))}
+SELECT doc_id, leaf, s.d AS subroot, t.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = t.d AS verified
+FROM topf{HIGH} x JOIN low{DEEP} s ON s.scope = x.scope JOIN top{HIGH} t ON true"""
+
 SQL = {
     "op2_chat": CHAT,
     "op3_mixing": MIXING,
     "op5_anchors": ANCHORS,
     "op6_minhash_join": MINHASH,
     "op9_quality_rules": QUALITY,
+    "op11_periodic_runs": RUNS,
+    "op12_merkle": MERKLE,
 }

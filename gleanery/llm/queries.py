@@ -1,10 +1,23 @@
 """The registered queries of this package, and the SQL they are checked against."""
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import anchors, byte_bpe, chat, hilbert, minhash_join, mixing, order_minhash, quality_rules, secret_scan, surrogates
+from gleanery.llm import (
+    anchors,
+    byte_bpe,
+    chat,
+    hilbert,
+    merkle,
+    minhash_join,
+    mixing,
+    order_minhash,
+    periodic_runs,
+    quality_rules,
+    secret_scan,
+    surrogates,
+)
 from gleanery.llm.frames import documents
 from gleanery.llm.oracles import SQL
 
@@ -103,6 +116,29 @@ def op10_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def id_crc32() -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.with_runs(documents(spark, sf_dir), seed=id_crc32())
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.*",
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(listed, lambda r: F.concat(r, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = merkle.leaves(documents(spark, sf_dir), tampered=id_crc32() % 3 == 0)
+    columns = ["leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return merkle.audited(rows).select(F.col("key").alias("doc_id"), *columns)
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -114,4 +150,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_quality_rules": op9_quality_rules,
     "op10_hilbert": op10_hilbert,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle": op12_merkle,
 }
