@@ -14,6 +14,7 @@ from gleanery.llm import (
     mixing,
     order_minhash,
     periodic_runs,
+    pu_classifier,
     quality_rules,
     secret_scan,
     surrogates,
@@ -139,6 +140,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(rows).select(F.col("key").alias("doc_id"), *columns)
 
 
+def op13_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_classifier.classified(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_chat": op2_chat,
@@ -152,4 +157,5 @@ QUERIES = {
     "op10_hilbert": op10_hilbert,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle": op12_merkle,
+    "op13_pu_quality": op13_pu_quality,
 }
