@@ -7,7 +7,7 @@ An empty text has zeros everywhere.
 
 import numpy as np
 
-from gleanery.llm.hashing import U64, buffers, gram_starts, grams, mix, row_chunks, word_hashes
+from gleanery.llm.hashing import BYTE_VALUES, POWERS, U64, buffers, gram_starts, grams, mix, row_chunks, word_hashes
 
 LOWER, UPPER, DIGIT, SPACE, BREAK, MARK, SYMBOL, BEYOND = range(8)
 CLASSES = 8
@@ -44,8 +44,8 @@ def _rows_of(offsets: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
 
 
-def _lines(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, hash and bytes of each line with a byte in it; `sums` are running sums over places of mixed bytes."""
+def _lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and number of bytes of each line with a byte in it."""
     cut = np.flatnonzero(data == 10)
     starts = np.unique(np.concatenate([offsets[:-1], cut + 1]))
     starts = starts[starts < len(data)]
@@ -53,7 +53,9 @@ def _lines(data: np.ndarray, offsets: np.ndarray, sums: np.ndarray) -> tuple[np.
     full = ends > starts
     starts, ends = starts[full], ends[full]
     rows = np.searchsorted(offsets, starts, side="right") - 1
-    return rows, mix(sums[ends] - sums[starts] + U64(31) * (ends - starts).astype(U64)), ends - starts
+    up, down = POWERS.upto(len(data) + 1)
+    sums = np.concatenate([np.zeros(1, U64), np.cumsum(BYTE_VALUES[data] * up[:-1], dtype=U64)])
+    return rows, mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64)), ends - starts
 
 
 def features(column) -> np.ndarray:
@@ -79,10 +81,7 @@ def _chunk(column) -> np.ndarray:
         starts, ends = gram_starts(at, size)
         again = _again(grams(hashes, size)[starts], _rows_of(ends), n)
         shares.append(_share(again, np.diff(ends)))
-    # The value of a byte in a line depends on its neighbour too, so that lines of the same bytes in another order differ.
-    values = mix(data.astype(U64) * U64(257) + np.append(data[1:], 0).astype(U64) + U64(1))
-    sums = np.concatenate([np.zeros(1, U64), np.cumsum(values, dtype=U64)])
-    of_lines, line_hashes, widths = _lines(data, offsets, sums)
+    of_lines, line_hashes, widths = _lines(data, offsets)
     n_lines = np.bincount(of_lines, minlength=n)
     shares.append(_share(_again(line_hashes, of_lines, n), n_lines))
     shares.append(_share(np.bincount(of_lines[widths < 30], minlength=n), n_lines))
