@@ -6,9 +6,11 @@ linear score g is
 
     p * mean_P l(g) + max(0, mean_U l(-g) - p * mean_P l(-g)),
 
-the non-negative unbiased estimator of Kiryo et al. (2017). While the second part is positive, the risk is convex in the
-weights (the loss is its own mirror image but for a linear term), so Newton steps minimise it; a step that would make that
-part negative, the sign of overfitting, is cut back. A small ridge keeps the weights finite.
+the non-negative unbiased estimator of Kiryo et al. (2017). With this loss it is convex: it is the larger of two convex
+functions, with and without the second part. Newton steps minimise the one with it. If the second part is negative
+at that place, the sign of overfitting, the least risk lies where it is zero; it is found by weighing the second part by a
+factor below 1, by bisection. A small ridge keeps the weights finite; as it and the factor draw the scores
+together, the constant is set last so that the mean score of the unlabelled rows is the prior.
 
 The prior is estimated, not given: a classifier of positives against unlabelled rows is fitted on one half of the rows and
 counts on the other. Among its highest scores nearly all documents are good, so there the share of unlabelled rows, over that of
@@ -36,10 +38,11 @@ from gleanery.llm.hashing import text_column
 from gleanery.llm.text_features import NAMES, features
 
 FOLDS = 5
-RIDGE = 0.02
+RIDGE = 0.01
 CLIP = 8.0
 CUTOFF = 0.3
-PASSES = 30
+PASSES = 20
+BISECTIONS = 20
 BINS = 2_000
 WIDTH = len(NAMES) + 1  # and a constant
 
@@ -162,6 +165,11 @@ def separators(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, steps: int
     return weights
 
 
+def binned(scores: np.ndarray) -> np.ndarray:
+    """Bins of equal width over scores from -20 to 20."""
+    return np.clip(((scores + 20) * (BINS / 40)).astype(int), 0, BINS - 1)
+
+
 def class_prior(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, keeping: float = 0.5) -> float:
     """Share of good documents among all, from cutoffs that keep at least `keeping` of the positives."""
     weights = separators(rows, mean, scale)
@@ -169,7 +177,7 @@ def class_prior(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, keeping: f
     def part(x, fold, positive):
         z = standardised(x, mean, scale)
         scores = np.where(halves(fold) == 0, z @ weights[1], z @ weights[0])
-        bins = np.clip(((scores + 20) * (BINS / 40)).astype(int), 0, BINS - 1)
+        bins = binned(scores)
         return np.concatenate([np.bincount(bins, minlength=BINS), np.bincount(bins[positive], minlength=BINS)])
 
     sums = summed(rows, part, 2 * BINS)
@@ -179,43 +187,99 @@ def class_prior(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, keeping: f
     return float(np.clip((shares[0][enough] / shares[1][enough]).min(initial=1.0), 0.01, 0.99))
 
 
-def minimised(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, prior: float) -> np.ndarray:
-    """Weights of least non-negative risk, by Newton steps that are halved until the risk falls and stays non-negative."""
-    size = 2 * WIDTH + WIDTH**2 + 5
-
-    def measured(weights):
-        def part(x, fold, positive):
-            u = standardised(x, mean, scale)
-            score = u @ weights
-            p = u[positive]
-            of_u = sigmoid(score)
-            risks = [loss(-score).sum(), loss(score[positive]).sum(), loss(-score[positive]).sum(), len(u), len(p)]
-            return np.concatenate([of_u @ u, p.sum(0), _curved(u, of_u * (1 - of_u)), risks])
-
-        s = summed(rows, part, size)
-        n_u, n_p = max(s[-2], 1), max(s[-1], 1)
-        negative = s[-5] / n_u - prior * s[-3] / n_p
-        risk = prior * s[-4] / n_p + max(negative, 0.0) + 0.5 * (ridge() * weights**2).sum()
-        slope = s[:WIDTH] / n_u - prior * s[WIDTH : 2 * WIDTH] / n_p + ridge() * weights
-        curve = (s[2 * WIDTH : -5] / n_u).reshape(WIDTH, WIDTH) + np.diag(ridge())
-        return risk, negative, np.linalg.solve(curve, slope)
-
-    weights = np.zeros(WIDTH)
-    risk, _, step = measured(weights)
-    for _ in range(PASSES):
-        tried = weights - step
-        new_risk, negative, new_step = measured(tried)
-        if negative < 0 or new_risk >= risk:
-            step = step / 2
-            if np.abs(step).max() < 1e-3:
-                break
+@dataclass
+class Sums:
+    """Risks, slopes and curvatures at some weights, as means over the unlabelled and the positive rows."""
+
+    unlabelled_negative: float
+    positive_positive: float
+    positive_negative: float
+    u_slope: np.ndarray
+    p_slope: np.ndarray
+    p_mean: np.ndarray
+    u_curve: np.ndarray
+    p_curve: np.ndarray
+
+    def negative(self, prior: float) -> float:
+        return self.unlabelled_negative - prior * self.positive_negative
+
+
+def sums_at(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray) -> Sums:
+    def part(x, fold, positive):
+        u = standardised(x, mean, scale)
+        score = u @ weights
+        p, of_u = u[positive], sigmoid(score)
+        of_p = of_u[positive]
+        risks = [loss(-score).sum(), loss(score[positive]).sum(), loss(-score[positive]).sum(), len(u), len(p)]
+        curves = [_curved(u, of_u * (1 - of_u)), _curved(p, of_p * (1 - of_p))]
+        return np.concatenate([of_u @ u, (1 - of_p) @ p, p.sum(0), *curves, risks])
+
+    s = summed(rows, part, 3 * WIDTH + 2 * WIDTH**2 + 5)
+    n_u, n_p = max(s[-2], 1), max(s[-1], 1)
+    u_slope, p_slope, p_mean = s[: 3 * WIDTH].reshape(3, WIDTH)
+    u_curve, p_curve = s[3 * WIDTH : -5].reshape(2, WIDTH, WIDTH)
+    return Sums(s[-5] / n_u, s[-4] / n_p, s[-3] / n_p, u_slope / n_u, p_slope / n_p, p_mean / n_p, u_curve / n_u, p_curve / n_p)
+
+
+def newton(
+    rows: DataFrame, mean: np.ndarray, scale: np.ndarray, prior: float, share: float, weights: np.ndarray, at: Sums, passes: int
+) -> tuple[np.ndarray, Sums]:
+    """Weights (and their sums) of least risk with the second part times `share`; a step that raises it is halved."""
+
+    def risk(w, s):
+        return prior * s.positive_positive + share * s.negative(prior) + 0.5 * (ridge() * w**2).sum()
+
+    def step(w, s):
+        slope = share * s.u_slope - prior * ((1 - share) * s.p_slope + share * s.p_mean) + ridge() * w
+        return np.linalg.solve(share * s.u_curve + prior * (1 - share) * s.p_curve + np.diag(ridge()), slope)
+
+    move = step(weights, at)
+    for _ in range(passes):
+        tried = weights - move
+        then = sums_at(rows, mean, scale, tried)
+        gained = risk(weights, at) - risk(tried, then)
+        if gained < 0:
+            move = move / 2
             continue
-        gained, weights, risk, step = risk - new_risk, tried, new_risk, new_step
-        if gained < 1e-6:
+        weights, at = tried, then
+        if gained < 1e-8:
             break
+        move = step(weights, at)
+    return weights, at
+
+
+def minimised(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, prior: float) -> np.ndarray:
+    """Weights of least non-negative risk."""
+    start = np.zeros(WIDTH)
+    weights, at = newton(rows, mean, scale, prior, 1.0, start, sums_at(rows, mean, scale, start), PASSES)
+    if at.negative(prior) >= 0:
+        return weights
+    low, high = 0.0, 1.0
+    for _ in range(BISECTIONS):
+        share = (low + high) / 2
+        weights, at = newton(rows, mean, scale, prior, share, weights, at, PASSES)
+        if abs(at.negative(prior)) < 1e-4:
+            break
+        low, high = (low, share) if at.negative(prior) < 0 else (share, high)
     return weights
 
 
+def shifted(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray, prior: float) -> np.ndarray:
+    """The weights with the constant at which the mean score is the prior, from counts of scores in bins."""
+
+    def part(x, fold, positive):
+        return np.bincount(binned(standardised(x, mean, scale) @ weights), minlength=BINS)
+
+    counts = summed(rows, part, BINS)
+    centres = (np.arange(BINS) + 0.5) * (40 / BINS) - 20
+    low, high = -40.0, 40.0
+    for _ in range(50):
+        middle = (low + high) / 2
+        under = counts @ sigmoid(centres + middle) < prior * counts.sum()
+        low, high = (middle, high) if under else (low, middle)
+    return weights + np.append(np.zeros(WIDTH - 1), (low + high) / 2)
+
+
 def fit(rows: DataFrame) -> Model:
     """A model from all rows of `prepared` that are not held out."""
     learned = rows.filter("fold > 0 OR fold IS NULL")
@@ -223,7 +287,8 @@ def fit(rows: DataFrame) -> Model:
     if not n_positive:
         return Model(mean, scale, np.zeros(WIDTH), 0.5)
     prior = class_prior(learned, mean, scale)
-    return Model(mean, scale, minimised(learned, mean, scale, prior), prior)
+    weights = minimised(learned, mean, scale, prior)
+    return Model(mean, scale, shifted(learned, mean, scale, weights, prior), prior)
 
 
 def scored(rows: DataFrame, model: Model) -> DataFrame:
