@@ -1,45 +1,19 @@
-"""The remaining classifiers and clusterings, as Spark ML fits."""
+"""Clusterings as Spark ML fits."""
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
-from pyspark.ml.feature import PCA, HashingTF, IndexToString, StringIndexer
+from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def presence_vectors(rows: DataFrame, tokens: str, buckets: int = 1 << 14) -> DataFrame:
-    """0/1 features of all terms, hashed into `buckets` places; two terms that share one count as one."""
-    return HashingTF(inputCol=tokens, outputCol="features", numFeatures=buckets, binary=True).transform(rows)
-
-
-def fit_labelled(rows: DataFrame, label: str, learner: str):
-    """Maximum entropy or a decision tree, with the label names carried through."""
-    index = StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(rows)
-    model = {
-        "maxent": LogisticRegression(maxIter=50, regParam=0.01),
-        "tree": DecisionTreeClassifier(maxDepth=8, seed=42),
-    }[learner]
-    names = IndexToString(inputCol="prediction", outputCol="predicted", labels=index.labels)
-    return Pipeline(stages=[index, model, names]).fit(rows)
-
-
 def vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
     return rows.withColumn("features", array_to_vector(F.col(column).cast("array<double>")))
 
 
-def reduced(rows: DataFrame, dimensions: int) -> DataFrame:
-    """The same vectors along their main axes."""
-    model = PCA(k=dimensions, inputCol="features", outputCol="_axes").fit(rows)
-    return model.transform(rows).drop("features").withColumnRenamed("_axes", "features")
-
-
 def fit_clusters(rows: DataFrame, method: str, k: int, seed: int = 42):
-    """k-means, an EM mixture, or top-down bisection in place of pairwise agglomeration."""
+    """k-means, or top-down bisection in place of pairwise agglomeration."""
     model = {
         "kmeans": KMeans(k=k, seed=seed, maxIter=30),
-        "mixture": GaussianMixture(k=k, seed=seed, maxIter=30),
         "hierarchical": BisectingKMeans(k=k, seed=seed, maxIter=30),
     }[method]
     return model.fit(rows)

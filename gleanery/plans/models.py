@@ -12,10 +12,14 @@ from gleanery.operators import (
     langmodel,
     language_id,
     learners,
+    maxent,
+    mixtures,
     ngrams,
     stemming,
     textpairs,
+    trees,
 )
+from gleanery.plans.learner_sql import maxent_sql, mixture_sql, tree_sql
 from gleanery.sources.tables import table
 
 ORDER = 2
@@ -245,25 +249,25 @@ def naive_bayes(spark, sf_dir):
     return bayes.classify(_documents(spark, sf_dir), present, priors, likelihoods, "doc_id", "lang")
 
 
-def _learned(spark, sf_dir, learner):
-    rows = _documents(spark, sf_dir).select("doc_id", "lang", _tokens().alias("tokens"))
-    vectors = learners.presence_vectors(rows, "tokens")
-    model = learners.fit_labelled(vectors.select("doc_id", "lang", "features"), "lang", learner)
-    return classify.confusion(model.transform(vectors).select("lang", "predicted"), "lang", "predicted")
+MAXENT_ROUNDS = 8
+TREE_DEPTH = 4
+TREE_SUPPORT = 10
 
 
 def maxent_confusion(spark, sf_dir):
-    return _learned(spark, sf_dir, "maxent")
+    rows, present = _documents(spark, sf_dir).select("doc_id", "lang"), _presence(spark, sf_dir)
+    model = maxent.train(present, rows, "doc_id", "lang", MAXENT_ROUNDS)
+    return classify.confusion(maxent.classify(model, present, rows, "doc_id"), "lang", "predicted")
 
 
 def tree_confusion(spark, sf_dir):
-    return _learned(spark, sf_dir, "tree")
+    rows, present = _documents(spark, sf_dir).select("doc_id", "lang"), _presence(spark, sf_dir)
+    tree = trees.grow(present, rows, "doc_id", "lang", TREE_DEPTH, TREE_SUPPORT)
+    return classify.confusion(trees.classify(tree, present, rows, "doc_id", TREE_DEPTH), "lang", "predicted")
 
 
-def _clustered(spark, sf_dir, method, dimensions=None):
+def _clustered(spark, sf_dir, method):
     rows = learners.vectors(table(spark, sf_dir, "embeddings")).select("vec_id", "label", "features")
-    if dimensions:
-        rows = learners.reduced(rows, dimensions)
     model = learners.fit_clusters(rows, method, 10)
     return model.transform(rows).groupBy("prediction", "label").agg(F.count("*").alias("n"))
 
@@ -272,9 +276,14 @@ def clusters_kmeans(spark, sf_dir):
     return _clustered(spark, sf_dir, "kmeans")
 
 
+MIXTURE_ROUNDS = 8
+MIXTURE_PARTS = 10
+
+
 def clusters_mixture(spark, sf_dir):
-    # Full covariances need far more vectors per component than dimensions.
-    return _clustered(spark, sf_dir, "mixture", dimensions=8)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    model = mixtures.fit(rows, MIXTURE_PARTS, rounds=MIXTURE_ROUNDS)
+    return mixtures.assign(rows, model).groupBy("prediction", "label").agg(F.count("*").alias("n"))
 
 
 def clusters_hierarchical(spark, sf_dir):
@@ -543,6 +552,9 @@ bef AS (SELECT w2, w3, count(*) AS b FROM g GROUP BY ALL),
 hold AS (SELECT w2, count(*) AS h FROM g GROUP BY ALL)"""
 
 SQL = {
+    "maxent_confusion": maxent_sql(_LIST, MAXENT_ROUNDS),
+    "tree_confusion": tree_sql(_LIST, TREE_DEPTH, TREE_SUPPORT),
+    "clusters_mixture": mixture_sql(MIXTURE_PARTS, MIXTURE_ROUNDS, 0.01),
     "porter_stems": _porter_sql(),
     "swap_distances": f"""WITH l AS (SELECT {_LIST} AS ws FROM conversations),
         pairs AS (SELECT DISTINCT ws[i] AS w1, ws[i + 1] AS w2 FROM l, unnest(range(1, len(ws))) t(i))
