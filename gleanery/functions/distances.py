@@ -1,9 +1,7 @@
 """Distances between words and between sets, as columns."""
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def edit_distance(a: Column, b: Column) -> Column:
@@ -90,38 +88,47 @@ def jaro_winkler_similarity(a: Column, b: Column, p: float = 0.1, max_prefix: in
 def costed_edit_distance(
     a: Column, b: Column, substitution_cost: int = 1, transpositions: bool = False
 ) -> Column:
-    """Edit distance with a price for substitutions and, if wanted, swaps of letters.
+    """Edit distance with a price for substitutions and, if wanted, swaps of letters; null if a side is.
 
-    For the plain distance `edit_distance` stays in the JVM; this one runs on Arrow batches.
+    The table of distances is a fold: one row of it for each letter of `a`, one cell for each letter of `b`. All rows stay in
+    the state, since a swap looks back to the row of the last letter alike; `seen` has that row for each letter of `b`.
     """
-
-    def one(x: str, y: str) -> int:
-        far = len(x) + len(y)
-        # Row and column 0 hold a sentinel, so that the first swap has something to look back at.
-        table = [[far] * (len(y) + 2) for _ in range(len(x) + 2)]
-        for i in range(len(x) + 1):
-            table[i + 1][1] = i
-        for j in range(len(y) + 1):
-            table[1][j + 1] = j
-        last_row: dict[str, int] = {}
-        for i, p in enumerate(x, 1):
-            last_match = 0
-            for j, q in enumerate(y, 1):
-                row, col = last_row.get(q, 0), last_match
-                best = min(
-                    table[i][j + 1] + 1,
-                    table[i + 1][j] + 1,
-                    table[i][j] + (0 if p == q else substitution_cost),
+    kinds = "struct<rows:array<array<int>>,seen:array<int>>"
+
+    def spelled(text: Column) -> Column:
+        return F.array_remove(F.split(text, ""), "")
+
+    def measured(pair: Column) -> Column:
+        x, y = pair["x"], pair["y"]
+        first = F.sequence(F.lit(0), F.size(y))
+        start = F.struct(F.array(first).alias("rows"), F.transform(y, lambda c: F.lit(0)).alias("seen")).cast(kinds)
+
+        def row(state: Column, letter: Column) -> Column:
+            above = F.element_at(state["rows"], -1)
+            i = F.size(state["rows"])  # letters of `x` up to here
+
+            def cell(line: Column, place: Column) -> Column:
+                j = place["j"]
+                same = place["c"] == letter
+                best = F.least(
+                    F.get(above, j) + 1,
+                    F.element_at(line["cells"], -1) + 1,
+                    F.get(above, j - 1) + F.when(same, 0).otherwise(substitution_cost),
                 )
-                if transpositions and row and col:
-                    best = min(best, table[row][col] + (i - row - 1) + 1 + (j - col - 1))
-                if p == q:
-                    last_match = j
-                table[i + 1][j + 1] = best
-            last_row[p] = i
-        return table[len(x) + 1][len(y) + 1]
-
-    def batch(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype="int64")
-
-    return F.pandas_udf(batch, T.LongType())(a, b)
+                if transpositions:
+                    back, match = F.get(state["seen"], j - 1), line["match"]
+                    swapped = F.get(F.get(state["rows"], back - 1), match - 1) + (i - back - 1) + 1 + (j - match - 1)
+                    best = F.when((back > 0) & (match > 0), F.least(best, swapped)).otherwise(best)
+                match = F.when(same, j).otherwise(line["match"])
+                return F.struct(F.array_append(line["cells"], best).alias("cells"), match.alias("match")).cast("struct<cells:array<int>,match:int>")
+
+            places = F.transform(y, lambda c, j: F.struct(c.alias("c"), (j + 1).alias("j")))
+            line = F.struct(F.array(i).alias("cells"), F.lit(0).alias("match")).cast("struct<cells:array<int>,match:int>")
+            cells = F.aggregate(places, line, cell, lambda line: line["cells"])
+            seen = F.zip_with(y, state["seen"], lambda c, back: F.when(c == letter, i).otherwise(back))
+            return F.struct(F.array_append(state["rows"], cells).alias("rows"), seen.alias("seen")).cast(kinds)
+
+        return F.aggregate(x, start, row, lambda state: F.element_at(F.element_at(state["rows"], -1), -1))
+
+    pair = F.struct(spelled(a).alias("x"), spelled(b).alias("y"))
+    return F.when(a.isNotNull() & b.isNotNull(), F.transform(F.array(pair), measured)[0].cast("long"))

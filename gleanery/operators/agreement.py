@@ -5,6 +5,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleanery.sources.tables import ensure_checkpoint_dir
+
 
 def wide(annotations: DataFrame, coders: list[str]) -> DataFrame:
     """One row per item, one column per coder.  No coder is joined with another."""
@@ -114,15 +116,20 @@ def coefficients(annotations: DataFrame, coders: list[str]) -> DataFrame:
 
 
 def ranks(scores: DataFrame, key: str, score: str) -> DataFrame:
-    """Rank by falling score from 0, equal scores sharing the first rank.
+    """Rank by falling score from 0, equal scores sharing the first rank; a null score has no rank.
 
-    Ranked over the table of distinct scores, so suited to counts.
+    Scores of any type are counted first, so that ties are one row; the distinct ones are sorted in parts, and a rank is the
+    rows of the parts before plus those before in its part. Only the parts' sizes meet in one task.
     """
-    before = Window.orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
-    by_score = scores.groupBy(score).agg(F.count("*").alias("_n")).withColumn(
-        "rank", F.coalesce(F.sum("_n").over(before), F.lit(0))
-    )
-    return scores.join(by_score.drop("_n"), score).select(key, "rank")
+    ensure_checkpoint_dir(scores.sparkSession)
+    counted = scores.groupBy(score).agg(F.count("*").alias("_n")).where(F.col(score).isNotNull())
+    parts = counted.repartitionByRange(F.desc(score)).withColumn("_part", F.spark_partition_id()).checkpoint()
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.groupBy("_part").agg(F.sum("_n").alias("_size")).select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    before = Window.partitionBy("_part").orderBy(F.desc(score)).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    by_score = parts.withColumn("_inside", inside).join(starts, "_part").select(score, (F.col("_start") + F.col("_inside")).alias("rank"))
+    return scores.join(by_score, score).select(key, "rank")
 
 
 def spearman(first: DataFrame, second: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,7 @@ def vectors(rows: DataFrame, column: str = "embedding") -> DataFrame:
 
 
 def fit_clusters(rows: DataFrame, method: str, k: int, seed: int = 42):
-    """k-means, or top-down bisection in place of pairwise agglomeration."""
+    """k-means, or top-down bisection."""
     model = {
         "kmeans": KMeans(k=k, seed=seed, maxIter=30),
         "hierarchical": BisectingKMeans(k=k, seed=seed, maxIter=30),

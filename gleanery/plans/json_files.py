@@ -12,7 +12,7 @@ from gleanery.sources.tables import reviews, shared_dir
 from gleanery.streaming import review_stream as rs
 
 FIELDS = ["reviewerID", "reviewText", "summary", "overall", "category", "sourceId"]
-ARRAY_LENGTH = 50
+ARRAY_LENGTH = 1000
 
 
 def _folder(spark) -> str:
@@ -20,11 +20,11 @@ def _folder(spark) -> str:
 
 
 def _lines(spark, sf_dir, broken: bool):
-    """One JSON object per review; with `broken`, every tenth lacks its end."""
+    """One JSON object per review; with `broken`, each is followed by a line that lacks its end."""
     json = F.to_json(F.struct(*FIELDS))
+    rows = reviews(spark, sf_dir).select(json.alias("value"))
     cut = F.expr("left(value, length(value) - 1)")
-    rows = reviews(spark, sf_dir).select("doc_id", json.alias("value"))
-    return rows.select(F.when(F.lit(broken) & (F.col("doc_id") % 10 == 0), cut).otherwise(F.col("value")).alias("value"))
+    return rows.select(F.explode(F.array("value", cut)).alias("value")) if broken else rows
 
 
 def _written(spark, sf_dir, broken: bool) -> str:
@@ -60,12 +60,12 @@ def json_rejects(spark, sf_dir):
 
 
 def json_arrays(spark, sf_dir):
-    """Files that hold one array of reviews each."""
+    """Files that hold one array of reviews each, at most ARRAY_LENGTH of neighbouring ids."""
     folder = _folder(spark)
     rows = reviews(spark, sf_dir).withColumn("part", (F.col("doc_id") / ARRAY_LENGTH).cast("long"))
     arrays = rows.groupBy("part").agg(F.to_json(F.collect_list(F.struct(*FIELDS))).alias("value"))
-    arrays.write.partitionBy("part").text(folder)
-    return _plain(json_lines.read_reviews(spark, f"{folder}/part=*", multi_line=True))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    return _plain(json_lines.read_reviews(spark, folder, multi_line=True))
 
 
 def stream_json_reviews(spark, sf_dir):
@@ -84,11 +84,11 @@ QUERIES = {
 _PLAIN = f"WITH {REVIEWS_CTE} SELECT sourceId, category, reviewText, overall FROM reviews"
 
 SQL = {
-    "json_tolerant": f"{_PLAIN} WHERE doc_id % 10 <> 0",
+    "json_tolerant": _PLAIN,
     "json_strict": _PLAIN,
-    "json_permissive": f"WITH {REVIEWS_CTE} SELECT category, reviewText FROM reviews WHERE doc_id % 10 <> 0",
-    "json_rejects": f"""WITH {REVIEWS_CTE} SELECT doc_id % 10 = 0 AS rejected,
-        CASE WHEN doc_id % 10 <> 0 THEN category END AS category, count(*) AS n FROM reviews GROUP BY ALL""",
+    "json_permissive": f"WITH {REVIEWS_CTE} SELECT category, reviewText FROM reviews",
+    "json_rejects": f"""WITH {REVIEWS_CTE} SELECT false AS rejected, category, count(*) AS n FROM reviews GROUP BY category
+        UNION ALL SELECT true, NULL, count(*) FROM reviews""",
     "json_arrays": _PLAIN,
     "stream_json_reviews": f"""WITH {REVIEWS_CTE} SELECT sourceId AS reviewId, coalesce(reviewerID, 'unknown-user') AS userId,
         CASE WHEN {sql_profane(MERGED_SQL)} THEN 'impolite' ELSE 'clean' END AS profanityCheck FROM reviews""",

@@ -73,3 +73,57 @@ def mixture_sql(k: int, rounds: int, least: float) -> str:
     return f"""WITH {", ".join(ctes)},
         best AS (SELECT vec_id, CAST(c AS INTEGER) AS prediction FROM d{rounds} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d DESC, c) = 1)
         SELECT prediction, label, count(*) AS n FROM embeddings JOIN best USING (vec_id) GROUP BY prediction, label"""
+
+
+def _micro_ctes(size: int, rounds: int) -> list[str]:
+    ctes = [
+        "long AS MATERIALIZED (SELECT vec_id, a, CAST(embedding[a] AS DOUBLE) AS x FROM embeddings, unnest(range(1, len(embedding) + 1)) t(a))",
+        f"""first AS MATERIALIZED (SELECT vec_id, row_number() OVER (ORDER BY md5(CAST(vec_id AS VARCHAR)), vec_id) - 1 AS c FROM embeddings
+            QUALIFY c < {size})""",
+        "m0 AS MATERIALIZED (SELECT c, a, x AS m FROM first JOIN long USING (vec_id))",
+    ]
+    for i in range(rounds + 1):
+        ctes.append(f"""o{i} AS MATERIALIZED (SELECT vec_id, arg_min(c, (round(g, 9), c)) AS c FROM
+            (SELECT vec_id, c, sum((x - m) * (x - m)) AS g FROM long JOIN m{i} USING (a) GROUP BY vec_id, c) GROUP BY vec_id)""")
+        if i < rounds:
+            ctes.append(f"""m{i + 1} AS MATERIALIZED (SELECT c, a, coalesce(n.m, p.m) AS m FROM m{i} p
+                LEFT JOIN (SELECT c, a, avg(x) AS m FROM o{i} JOIN long USING (vec_id) GROUP BY c, a) n USING (c, a))""")
+    return ctes
+
+
+def _link_ctes(size: int, rounds: int) -> list[str]:
+    """Micro-clusters, and after i merges their sizes n<i>, gaps g<i> (a < b), and the merge x<i> to come."""
+    ctes = _micro_ctes(size, rounds)
+    ctes += [
+        f"n0 AS MATERIALIZED (SELECT c, count(*) AS n FROM o{rounds} GROUP BY c)",
+        f"means AS MATERIALIZED (SELECT c, a, avg(x) AS m, avg(x * x) AS q FROM o{rounds} JOIN long USING (vec_id) GROUP BY c, a)",
+        "g0 AS MATERIALIZED (SELECT x.c AS a, y.c AS b, sum(x.q + y.q - 2 * x.m * y.m) AS g FROM means x JOIN means y ON x.a = y.a AND x.c < y.c GROUP BY ALL)",
+    ]
+    for i in range(size - 1):
+        ctes.append(f"x{i} AS MATERIALIZED (SELECT a, b, g FROM g{i} ORDER BY round(g, 9), a, b LIMIT 1)")
+        ctes.append(f"""g{i + 1} AS MATERIALIZED (SELECT least(p, o) AS a, greatest(p, o) AS b, sum(n * g) / sum(n) AS g FROM
+            (SELECT CASE WHEN g.a IN (x.a, x.b) THEN x.a ELSE g.a END AS u, CASE WHEN g.b IN (x.a, x.b) THEN x.a ELSE g.b END AS v,
+                    CASE WHEN g.a IN (x.a, x.b) THEN g.a WHEN g.b IN (x.a, x.b) THEN g.b ELSE g.a END AS part, g.g,
+                    u AS p, v AS o FROM g{i} g, x{i} x) JOIN n{i} ON c = part WHERE p <> o GROUP BY ALL)""")
+        ctes.append(f"n{i + 1} AS MATERIALIZED (SELECT CASE WHEN c = x.b THEN x.a ELSE c END AS c, CAST(sum(n) AS BIGINT) AS n FROM n{i} LEFT JOIN x{i} x ON true GROUP BY 1)")
+    return ctes
+
+
+def dendrogram_sql(size: int, rounds: int) -> str:
+    steps = " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS step, CAST(x.a AS INTEGER) AS left_part, CAST(x.b AS INTEGER) AS right_part, round(g, 6) AS height, n FROM x{i} x JOIN n{i + 1} ON c = x.a"
+        for i in range(size - 1)
+    )
+    return f"WITH {', '.join(_link_ctes(size, rounds))} {steps}"
+
+
+def linkage_sql(size: int, rounds: int, k: int) -> str:
+    """As many merges as leave `k` clusters, if all micro-clusters hold a vector; fewer where some don't."""
+    ctes = _link_ctes(size, rounds)
+    moves = "c0 AS MATERIALIZED (SELECT c, c AS cluster FROM n0)"
+    ctes.append(moves)
+    for i in range(size - k):
+        ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, CASE WHEN cluster = x.b AND (SELECT count(*) FROM n0) - {i} > {k} THEN x.a ELSE cluster END AS cluster
+            FROM c{i} LEFT JOIN x{i} x ON true)""")
+    return f"""WITH {", ".join(ctes)} SELECT CAST(cluster AS INTEGER) AS prediction, label, count(*) AS n
+        FROM embeddings JOIN o{rounds} USING (vec_id) JOIN c{size - k} USING (c) GROUP BY 1, 2"""

@@ -12,6 +12,7 @@ from gleanery.operators import (
     langmodel,
     language_id,
     learners,
+    linkage,
     maxent,
     mixtures,
     ngrams,
@@ -19,7 +20,7 @@ from gleanery.operators import (
     textpairs,
     trees,
 )
-from gleanery.plans.learner_sql import maxent_sql, mixture_sql, tree_sql
+from gleanery.plans.learner_sql import dendrogram_sql, linkage_sql, maxent_sql, mixture_sql, tree_sql
 from gleanery.sources.tables import table
 
 ORDER = 2
@@ -286,8 +287,28 @@ def clusters_mixture(spark, sf_dir):
     return mixtures.assign(rows, model).groupBy("prediction", "label").agg(F.count("*").alias("n"))
 
 
+MICRO_CLUSTERS = 32
+MICRO_ROUNDS = 2
+
+
+def _linked(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    summary = linkage.summarised(rows, MICRO_CLUSTERS, rounds=MICRO_ROUNDS)
+    return rows, summary, linkage.linked(summary)
+
+
 def clusters_hierarchical(spark, sf_dir):
-    return _clustered(spark, sf_dir, "hierarchical")
+    """Ten clusters by average linkage."""
+    rows, summary, merges = _linked(spark, sf_dir)
+    found = linkage.assign(rows, summary, linkage.cut(summary, merges, 10))
+    return found.groupBy("prediction", "label").agg(F.count("*").alias("n"))
+
+
+def dendrogram(spark, sf_dir):
+    """The merges of average linkage over the micro-clusters of the embeddings."""
+    _, _, merges = _linked(spark, sf_dir)
+    rows = [(m.step, m.left, m.right, round(m.height, 6), m.n) for m in merges]
+    return spark.createDataFrame(rows, "step int, left_part int, right_part int, height double, n long")
 
 
 def event_fields(spark, sf_dir):
@@ -312,7 +333,7 @@ QUERIES = {
         confusion, class_scores, word_distances, word_similarities, swap_distances, regexp_stems, porter_stems,
         trigram_discount, naive_bayes_model,
         naive_bayes, maxent_confusion, tree_confusion, clusters_kmeans, clusters_mixture,
-        clusters_hierarchical, event_fields, event_entities,
+        clusters_hierarchical, dendrogram, event_fields, event_entities,
     )
 }
 
@@ -555,6 +576,8 @@ SQL = {
     "maxent_confusion": maxent_sql(_LIST, MAXENT_ROUNDS),
     "tree_confusion": tree_sql(_LIST, TREE_DEPTH, TREE_SUPPORT),
     "clusters_mixture": mixture_sql(MIXTURE_PARTS, MIXTURE_ROUNDS, 0.01),
+    "clusters_hierarchical": linkage_sql(MICRO_CLUSTERS, MICRO_ROUNDS, 10),
+    "dendrogram": dendrogram_sql(MICRO_CLUSTERS, MICRO_ROUNDS),
     "porter_stems": _porter_sql(),
     "swap_distances": f"""WITH l AS (SELECT {_LIST} AS ws FROM conversations),
         pairs AS (SELECT DISTINCT ws[i] AS w1, ws[i + 1] AS w2 FROM l, unnest(range(1, len(ws))) t(i))

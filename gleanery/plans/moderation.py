@@ -157,9 +157,8 @@ def review_upserts(spark, sf_dir):
 
 
 def sentiment_upserts(spark, sf_dir):
-    """Sentiment written over moderated reviews; every third has no moderation yet and is added."""
-    moderated = _moderated(spark, sf_dir).where(F.substring("reviewId", -6, 6).cast("long") % 3 > 0)
-    stored = mod.upsert_moderation(_empty_table(spark), moderated)
+    """Sentiment written over moderated reviews."""
+    stored = mod.upsert_moderation(_empty_table(spark), _moderated(spark, sf_dir))
     return _merged(mod.upsert_sentiment(stored, _scored_reviews(spark, sf_dir)))
 
 
@@ -304,7 +303,7 @@ SQL = {
         ratingSentimentAgreement FROM review_table""",
     "sentiment_upserts": f"""{_TABLE}
         SELECT l.reviewId, userId, profanityCheck, sentiment, agrees AS ratingSentimentAgreement FROM labelled l
-        LEFT JOIN (SELECT * FROM moderated WHERE CAST(right(reviewId, 6) AS BIGINT) % 3 > 0) m ON m.reviewId = l.reviewId""",
+        LEFT JOIN moderated m ON m.reviewId = l.reviewId""",
     "sentiment_histogram": f"{_TABLE} SELECT * FROM histogram",
     "review_summary": f"{_TABLE} SELECT * FROM counts",
     "banned_users": f"""{_MODERATED} SELECT userId, impoliteCount FROM users WHERE impoliteCount > 3

@@ -353,3 +353,17 @@ def test_registered_classifier_searches_the_full_grid(spark, monkeypatch):
         registry.queries()["classifier_f1"](spark, "/root/testdata/sf0.001")
     grid, folds = found.value.args
     assert math.prod(len(values) for values in grid.values()) == 24 and folds == 3
+
+
+def test_ranks_of_real_scores_over_many_parts(spark):
+    rng = random.Random(5)
+    scores = [(i, rng.choice([None, 0.5, float("-inf"), rng.random(), -rng.random()])) for i in range(400)]
+    known = [s for _, s in scores if s is not None]
+    expected = {i: sum(other > s for other in known) for i, s in scores if s is not None}
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = agreement.ranks(spark.createDataFrame(scores, "k long, s double").repartition(7), "k", "s")
+        assert {r.k: r["rank"] for r in found.collect()} == expected
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

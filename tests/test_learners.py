@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from gleanery.operators import maxent, mixtures, trees
+from gleanery.operators import linkage, maxent, mixtures, trees
 
 
 @pytest.fixture(scope="module")
@@ -131,3 +131,54 @@ def test_mixture_of_few_vectors(spark):
     model = mixtures.fit(rows, 5, rounds=3)
     assert len(model.shares) == 2 and np.isfinite(model.means).all() and (model.spreads > 0).all()
     assert mixtures.fit(rows.limit(0), 5).means.size == 0
+
+
+def plain_linkage(x):
+    """Merges of average linkage over squared distances, from all pairs of vectors."""
+    clusters, merges = {i: [i] for i in range(len(x))}, []
+    while len(clusters) > 1:
+        gap = {
+            (a, b): round(float(np.mean([((x[i] - x[j]) ** 2).sum() for i in clusters[a] for j in clusters[b]])), 9)
+            for a in clusters for b in clusters if a < b
+        }
+        a, b = min(gap, key=lambda p: (gap[p], p))
+        clusters[a] += clusters.pop(b)
+        merges.append((a, b, gap[a, b], len(clusters[a])))
+    return merges
+
+
+def test_average_linkage_is_exact_over_single_vectors(spark):
+    generator = np.random.default_rng(7)
+    x = generator.normal(0, 1, (24, 4)).round(3)
+    x[5] = x[9]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    summary = linkage.summarised(rows, 100, rounds=0)
+    order = [int(np.flatnonzero((x == c).all(1))[0]) for c in summary.centres]
+    assert summary.n.sum() == 24 and sorted(summary.n) == [0.0] + [1.0] * 22 + [2.0]
+    alive = [i for i in range(24) if summary.n[i] > 0]
+    got = linkage.linked(summary)
+    doubled = np.concatenate([[x[order[i]]] * int(summary.n[i]) for i in alive])
+    plain = plain_linkage(doubled)
+    assert [m.height for m in got] == pytest.approx([h for _, _, h, _ in plain if h > 0], abs=1e-8)
+    assert [m.n for m in got] == [n for _, _, h, n in plain if h > 0]
+
+
+def test_linkage_over_micro_clusters_and_its_cut(spark):
+    generator = np.random.default_rng(3)
+    centres = np.array([[0, 0, 0], [9, 0, 0], [0, 9, 0]])
+    x = np.concatenate([c + generator.normal(0, 0.5, (50, 3)) for c in centres])
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    summary = linkage.summarised(rows, 12)
+    own = linkage.nearest(x, summary.centres)
+    for c in range(12):
+        np.testing.assert_allclose(summary.sums[c], x[own == c].sum(0), atol=1e-9)
+    merges = linkage.linked(summary)
+    for m in merges[:1]:
+        pairs = [((a - b) ** 2).sum() for a in x[own == m.left] for b in x[own == m.right]]
+        assert m.height == pytest.approx(np.mean(pairs))
+    clusters = linkage.cut(summary, merges, 3)
+    got = np.array([r.prediction for r in linkage.assign(rows, summary, clusters).orderBy("vec_id").collect()])
+    assert all(len(set(got[50 * i : 50 * i + 50])) == 1 for i in range(3)) and len(set(got)) == 3
+    assert linkage.cut(summary, merges, 100).tolist() == list(range(12))
+    empty = linkage.summarised(rows.limit(0), 5)
+    assert linkage.linked(empty) == [] and linkage.cut(empty, [], 3).size == 0

@@ -64,3 +64,33 @@ def test_trigram_discount(spark):
     asked = spark.createDataFrame([("a", "b", "c"), ("a", "b", "e"), ("q", "b", "c")], "w1 string, w2 string, w3 string")
     got = {(r.w1, r.w3): r.p for r in langmodel.trigram_discount(asked, counts).collect()}
     assert got == {("a", "c"): (3 - 0.75) / 4, ("a", "e"): 2 * 0.75 / 4 * (1 / 1), ("q", "c"): 0.0}
+
+
+def plain_distance(x, y, cost, swaps):
+    table = {(i, j): max(i, j) for i in range(len(x) + 1) for j in range(len(y) + 1) if not i or not j}
+    for i in range(1, len(x) + 1):
+        for j in range(1, len(y) + 1):
+            same = x[i - 1] == y[j - 1]
+            best = min(table[i - 1, j] + 1, table[i, j - 1] + 1, table[i - 1, j - 1] + (0 if same else cost))
+            if swaps:
+                rows = [r for r in range(1, i) if x[r - 1] == y[j - 1]]
+                columns = [c for c in range(1, j) if y[c - 1] == x[i - 1]]
+                if rows and columns:
+                    r, c = rows[-1], columns[-1]
+                    best = min(best, table[r - 1, c - 1] + (i - r - 1) + 1 + (j - c - 1))
+            table[i, j] = best
+    return table[len(x), len(y)]
+
+
+def test_costed_edit_distance_of_random_words(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randrange(9))) for _ in range(240)]
+    pairs = list(zip(words[::2], words[1::2]))
+    rows = spark.createDataFrame(pairs, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    cases = [(1, False), (2, False), (1, True), (2, True)]
+    got = rows.select("a", "b", *[distances.costed_edit_distance(a, b, c, s).alias(f"d{i}") for i, (c, s) in enumerate(cases)])
+    for r in got.collect():
+        assert [r[f"d{i}"] for i in range(4)] == [plain_distance(r.a, r.b, c, s) for c, s in cases], r
+    nothing = spark.createDataFrame([(None, "a")], "a string, b string")
+    assert nothing.select(distances.costed_edit_distance(a, b).alias("d")).first().d is None
