@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from gleanery.functions import words as w
 from gleanery.functions.messages import message_tokens
 from gleanery.functions.tokenize import letter_words
-from gleanery.operators import normalize, tagging
+from gleanery.operators import normalize, sentence_ends, tagging
 from gleanery.operators.moderation import deduplicated, with_review_id
 from gleanery.plans.inputs import STOP_WORDS, small_frame, sql_list, stop_words
 from gleanery.schemas import DOCUMENT
@@ -31,6 +31,18 @@ def sentence_split(spark, sf_dir):
     )
 
 
+def abbreviations(spark, sf_dir):
+    """Abbreviations that the documents show by their full stops."""
+    found = sentence_ends.abbreviations(sentence_ends.word_ends(_documents(spark, sf_dir)))
+    return found.withColumn("score", F.round("score", 6))
+
+
+def learned_sentences(spark, sf_dir):
+    """Sentences, cut with the abbreviations that the documents show."""
+    docs = _documents(spark, sf_dir)
+    return sentence_ends.split(docs, sentence_ends.abbreviations(sentence_ends.word_ends(docs)))
+
+
 def word_tokens(spark, sf_dir):
     return normalize.token_rows(_documents(spark, sf_dir), "doc_id")
 
@@ -177,6 +189,8 @@ QUERIES = {
     "processed_reviews": processed_reviews,
     "stream_processed_reviews": stream_processed_reviews,
     "sentence_split": sentence_split,
+    "abbreviations": abbreviations,
+    "learned_sentences": learned_sentences,
     "word_tokens": word_tokens,
     "delimiter_tokens": delimiter_tokens,
     "message_token_counts": message_token_counts,
@@ -198,6 +212,16 @@ _SENTENCES = f"""list_filter(list_transform(string_split(
                   '([.!?]{_CLOSERS}){_SPACE}+', '\\1' || chr(30), 'g'), chr(30)),
    lambda s: trim(replace(s, chr(29), '.'), ' ')), lambda s: s <> '')"""
 
+_ABBREVIATIONS = f"""WITH runs AS (SELECT unnest(regexp_extract_all(lower(coalesce(text, '')), '\\p{{L}}[\\p{{L}}.]*')) AS run FROM documents),
+ends AS (SELECT rtrim(run, '.') AS word, count(*) FILTER (regexp_matches(run, '[^.]\\.$')) AS with_stop,
+    count(*) FILTER (NOT regexp_matches(run, '[^.]\\.$')) AS without_stop FROM runs GROUP BY 1),
+whole AS (SELECT sum(with_stop)::DOUBLE / sum(with_stop + without_stop) AS p FROM ends),
+weighed AS (SELECT word, with_stop, without_stop, len(word) - len(replace(word, '.', '')) AS stops, len(replace(word, '.', '')) AS letters,
+    with_stop * ln(p) + without_stop * ln(1 - p + 1e-8::DOUBLE) AS by_chance,
+    with_stop * ln(0.99::DOUBLE) + without_stop * ln(1 - 0.99::DOUBLE + 1e-8::DOUBLE) AS by_word FROM ends, whole WHERE with_stop > 0),
+scored AS (SELECT *, -2 * (by_chance - by_word) * exp(-letters::DOUBLE) * (stops + 1) * pow(letters::DOUBLE, -without_stop::DOUBLE) AS score FROM weighed),
+known AS (SELECT word, with_stop, without_stop, score FROM scored WHERE score >= 0.3)"""
+
 # RE2 has no lookahead and no Unicode \w or \b, so those rewrites are spelled out.
 _W = "[\\p{L}\\p{M}\\p{Nd}\\p{Pc}]"
 _NOT_W = "[^\\p{L}\\p{M}\\p{Nd}\\p{Pc}]"
@@ -329,6 +353,14 @@ def _message_sql() -> str:
 
 SQL = {
     "message_token_counts": _message_sql(),
+    "abbreviations": f"{_ABBREVIATIONS} SELECT word, with_stop, without_stop, round(score, 6) AS score FROM known",
+    "learned_sentences": f"""{_ABBREVIATIONS},
+        pieces AS (SELECT doc_id, string_split(regexp_replace(trim(coalesce(text, '')), '([.!?]{_CLOSERS}{_SPACE}+)', '\\1' || chr(30), 'g'), chr(30)) AS ps FROM documents),
+        placed AS (SELECT doc_id, unnest(ps) AS piece, unnest(range(len(ps))) AS place FROM pieces),
+        ended AS (SELECT *, regexp_extract(lower(piece), '(\\p{{L}}[\\p{{L}}.]*)\\.{_CLOSERS}{_SPACE}*$', 1) IN (SELECT word FROM known) AS open FROM placed),
+        numbered AS (SELECT *, count(*) FILTER (NOT open) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS k FROM ended),
+        glued AS (SELECT doc_id, k, regexp_replace(string_agg(piece, '' ORDER BY place), '{_SPACE}+$', '') AS sentence FROM numbered GROUP BY doc_id, k)
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS INTEGER) AS pos, sentence FROM glued WHERE sentence <> ''""",
     "sentence_split": f"""WITH lists AS (SELECT doc_id, {_SENTENCES} AS ss FROM documents)
         SELECT doc_id, unnest(ss) AS sentence, CAST(unnest(range(len(ss))) AS INTEGER) AS pos FROM lists""",
     "word_tokens": f"WITH {_TOKENS} SELECT doc_id, token, pos FROM tokens",

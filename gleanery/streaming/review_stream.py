@@ -126,3 +126,23 @@ def reviews_table(spark: SparkSession, moderation_log: str, sentiment_log: str)
         newest(spark, moderation_log, MODERATION_CHANGES, "reviewId"),
         newest(spark, sentiment_log, SENTIMENT_CHANGES, "reviewId"),
     )
+
+
+def joined_reviews(moderated: DataFrame, scored: DataFrame, event_time: str = "arrived", delay: str = "1 hour") -> DataFrame:
+    """Both consumers' streams as one: a row for each review, in full outer join on its id.
+
+    The two sides may bring a review in any order, up to `delay` apart by `event_time`, which both carry. A pair is put out
+    when its second side comes. A side whose partner is missing is kept as state until the watermark, `delay` behind the
+    newest row of the slower stream, has passed all times at which the partner could come; it is then put out alone, as
+    pending or without moderation. What comes later still is dropped, so state does not grow with the history.
+    """
+    left = moderated.select("reviewId", *mod.MODERATION_COLUMNS, F.col(event_time).alias("_m")).withWatermark("_m", delay)
+    right = scored.select(F.col("reviewId").alias("_id"), *mod.SENTIMENT_COLUMNS, F.col(event_time).alias("_s")).withWatermark("_s", delay)
+    near = f"reviewId = _id AND _s >= _m - INTERVAL {delay} AND _s <= _m + INTERVAL {delay}"
+    return left.join(right, F.expr(near), "full_outer").select(
+        F.coalesce("reviewId", "_id").alias("reviewId"),
+        *mod.MODERATION_COLUMNS,
+        F.coalesce("sentiment", F.lit(mod.PENDING)).alias("sentiment"),
+        *mod.SENTIMENT_COLUMNS[1:],
+        F.coalesce("_m", "_s").alias(event_time),
+    )

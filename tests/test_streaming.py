@@ -156,3 +156,39 @@ def test_ids_are_dropped_behind_the_watermark(spark, tmp_path):
     query = rs.start_user_counts(stream, f"{tmp_path}/log", f"{tmp_path}/cp", 1, event_time="ts", delay="1 hour")
     rs.run_available(query)
     assert [tuple(r) for r in rs.users_table(spark, f"{tmp_path}/log").collect()] == [("u", 2, True)]
+
+
+def test_outer_join_of_two_streams(spark, tmp_path):
+    """Sides meet in any order; what stays alone comes out once the watermark has passed, and late rows are dropped."""
+    left = "reviewId string, userId string, summary string, reviewText string, overall decimal(3,1), profanityCheck string, arrived timestamp"
+    right = "reviewId string, sentiment string, sentimentScore string, ratingSentimentAgreement boolean, arrived timestamp"
+
+    def add(side, schema, rows):
+        table = spark.createDataFrame(rows, schema.replace("arrived timestamp", "seconds long"))
+        times = table.withColumn("arrived", F.timestamp_seconds("seconds")).drop("seconds")
+        times.write.mode("append").parquet(f"{tmp_path}/{side}")
+
+    def moderated(i, at):
+        return (i, "u", "", "", None, "clean", at)
+
+    def scored(i, at):
+        return (i, "positive", "0.5", True, at)
+
+    def run():
+        sides = [spark.readStream.schema(s).parquet(f"{tmp_path}/{name}") for name, s in (("left", left), ("right", right))]
+        rs.run_available(rs.start_append(rs.joined_reviews(*sides), f"{tmp_path}/out", f"{tmp_path}/cp"))
+        rows = spark.read.parquet(f"{tmp_path}/out").collect()
+        return sorted((r.reviewId, r.userId, r.sentiment) for r in rows)
+
+    hour = 3600
+    add("left", left, [moderated("both", 10), moderated("first", 20), moderated("alone", 30)])
+    add("right", right, [scored("both", 11), scored("only", 40)])
+    assert run() == [("both", "u", "positive")]
+    add("right", right, [scored("first", 50)])
+    assert run() == [("both", "u", "positive"), ("first", "u", "positive")]
+    add("left", left, [moderated("new", 9 * hour)])
+    add("right", right, [scored("new", 9 * hour)])
+    everything = [("alone", "u", "pending"), ("both", "u", "positive"), ("first", "u", "positive"), ("new", "u", "positive"), ("only", None, "positive")]
+    assert run() == everything
+    add("right", right, [scored("alone", 60)])
+    assert run() == everything

@@ -1,8 +1,10 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions import words as w
-from gleanery.operators import normalize, tagging
+from gleanery.operators import normalize, sentence_ends, tagging
 
 
 def _run(spark, text, column):
@@ -97,3 +99,32 @@ def test_taggers(spark):
     assert chain.tags == ["DT", "NN", "VB", "NN", "NN"]
     classes = spark.createDataFrame([("JJ",), ("VBD",), ("RB",), ("NNP",), ("",)], "t string")
     assert [r.c for r in classes.select(tagging.word_class(F.col("t")).alias("c")).collect()] == ["a", "v", "r", "n", "n"]
+
+
+def test_abbreviations_are_learned_and_keep_sentences_together(spark):
+    texts = ["We ship approx. ten crates. They arrive approx. Monday. All is well, i.e. fine.", "Is it well? Ca. nine (approx. ten.) Then so. We ship. They arrive."] * 12
+    texts += ["", None, "fine", "Well... it is fine. We ship ten crates and all arrive then"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ends = {r.word: (r.with_stop, r.without_stop) for r in sentence_ends.word_ends(docs).collect()}
+    assert ends["approx"] == (36, 0) and ends["well"] == (0, 25) and ends["i.e"] == (12, 0) and ends["crates"] == (12, 1)
+    known = sentence_ends.abbreviations(sentence_ends.word_ends(docs))
+    total, stops = sum(a + b for a, b in ends.values()), sum(a for a, _ in ends.values())
+
+    def score(word):
+        yes, no = ends[word]
+        logs = lambda p: yes * math.log(p) + no * math.log(1 - p + 1e-8)
+        letters, inner = len(word.replace(".", "")), word.count(".")
+        return -2 * (logs(stops / total) - logs(0.99)) * math.exp(-letters) * (inner + 1) * letters**-no
+
+    expected = {w: score(w) for w, (yes, _) in ends.items() if yes and score(w) >= 0.3}
+    got = {r.word: r.score for r in known.collect()}
+    assert got == pytest.approx(expected) and {"ca", "i.e"} <= set(got)
+    listed = spark.createDataFrame([("approx",), ("i.e",), ("ca",)], "word string")
+    rows = sentence_ends.split(docs, listed).collect()
+    by_doc = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.pos)):
+        by_doc.setdefault(r.doc_id, []).append(r.sentence)
+    assert by_doc[0] == ["We ship approx. ten crates.", "They arrive approx. Monday.", "All is well, i.e. fine."]
+    assert by_doc[1] == ["Is it well?", "Ca. nine (approx. ten.)", "Then so.", "We ship.", "They arrive."]
+    assert by_doc[26] == ["fine"] and not {24, 25} & set(by_doc)
+    assert by_doc[27] == ["Well...", "it is fine.", "We ship ten crates and all arrive then"]
