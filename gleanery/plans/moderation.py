@@ -1,5 +1,7 @@
 """Registered queries: politeness, bans, rating agreement, upserts and the tally."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from gleanery.functions import ratings
@@ -19,7 +21,8 @@ from gleanery.plans.inputs import (
     valence_lexicon,
 )
 from gleanery.plans.valence_sql import VALENCE_CTE, corpus_rules
-from gleanery.sources.tables import reviews, table
+from gleanery.sinks import keyed_table
+from gleanery.sources.tables import reviews, shared_dir, table
 
 
 def _identified(spark, sf_dir):
@@ -162,6 +165,18 @@ def sentiment_upserts(spark, sf_dir):
     return _merged(mod.upsert_sentiment(stored, _scored_reviews(spark, sf_dir)))
 
 
+BUCKETS = 16
+
+
+def bucketed_upserts(spark, sf_dir):
+    """Both consumers' upserts into a table in buckets, moderation first; equal to `review_table`."""
+    root = f"{shared_dir(spark)}/reviews-{uuid.uuid4().hex}"
+    keyed_table.create(spark, root)
+    keyed_table.upsert(root, _moderated(spark, sf_dir), mod.upsert_moderation, BUCKETS)
+    keyed_table.upsert(root, _scored_reviews(spark, sf_dir), mod.upsert_sentiment, BUCKETS)
+    return _merged(keyed_table.read(spark, root))
+
+
 def sentiment_histogram(spark, sf_dir):
     return mod.sentiment_histogram(_review_table(spark, sf_dir))
 
@@ -213,6 +228,7 @@ QUERIES = {
     "review_table": review_table,
     "review_upserts": review_upserts,
     "sentiment_upserts": sentiment_upserts,
+    "bucketed_upserts": bucketed_upserts,
     "sentiment_histogram": sentiment_histogram,
     "review_summary": review_summary,
     "banned_users": banned_users,
@@ -301,6 +317,8 @@ SQL = {
     "review_table": f"{_TABLE} SELECT * FROM review_table",
     "review_upserts": f"""{_TABLE} SELECT reviewId, userId, profanityCheck, sentiment,
         ratingSentimentAgreement FROM review_table""",
+    "bucketed_upserts": f"""{_TABLE} SELECT reviewId, userId, profanityCheck, sentiment,
+        ratingSentimentAgreement FROM review_table""",
     "sentiment_upserts": f"""{_TABLE}
         SELECT l.reviewId, userId, profanityCheck, sentiment, agrees AS ratingSentimentAgreement FROM labelled l
         LEFT JOIN moderated m ON m.reviewId = l.reviewId""",
