@@ -95,14 +95,14 @@ BIGRAM_NAMES = [
     "jaccard", "phi_sq", "dice",
 ]
 TRIGRAM_NAMES = BIGRAM_NAMES[:8]
-# Chi-square of rare triples passes 10^10, where a double has no six decimals left.
-DIGITS = {"chi_sq": 2}
+# Chi-square of rare triples passes 10^10 and of quadruples 10^14, where a double has no six decimals left.
+DIGITS = {2: {"chi_sq": 2}, 3: {"chi_sq": 2}, 4: {"chi_sq": -4}}
 
 
 def _scored(grams, measures, names):
     columns = [c for c in grams.columns if c.startswith("w")]
     return grams.select(
-        *columns, "count", *[F.round(getattr(measures, n)(), DIGITS.get(n, 6)).alias(n) for n in names]
+        *columns, "count", *[F.round(getattr(measures, n)(), DIGITS[len(columns)].get(n, 6)).alias(n) for n in names]
     )
 
 
@@ -151,7 +151,7 @@ def trigram_window(spark, sf_dir):
 
 def quadgram_collocations(spark, sf_dir):
     grams = collocations.frequent(collocations.quadgrams(_documents(spark, sf_dir), _tokens()), MIN_COUNT)
-    return _scored(grams, collocations.Measures(4), ["raw_freq", "student_t", "mi_like", "pmi"])
+    return _scored(grams, collocations.Measures(4), TRIGRAM_NAMES)
 
 
 def _contexts(spark, sf_dir):
@@ -251,7 +251,7 @@ def _measure_sql(n: int) -> dict[str, str]:
         out["phi_sq"] = f"({ii} * {oo} - {io} * {oi}) ** 2 / (({ii} + {io}) * ({ii} + {oi}) * ({io} + {oo}) * ({oi} + {oo}))"
         out["chi_sq"] = f"{all_} * ({out['phi_sq']})"
         out["dice"] = f"2.0 * {gram} / ({d('n_ix')} + {d('n_xi')})"
-    return {k: f"round({v}, {DIGITS.get(k, 6)}) AS {k}" for k, v in out.items()}
+    return {k: f"round({v}, {DIGITS[n].get(k, 6)}) AS {k}" for k, v in out.items()}
 
 
 def _bigram_stats(window: int = 2) -> str:
@@ -277,10 +277,10 @@ def _best_sql(measure: str, window: int = 2) -> str:
 
 
 _TRIGRAMS = f"""WITH {_LISTS}, {_next(3)},
-w AS (SELECT w1, count(*) AS n FROM grams GROUP BY ALL),
-p AS (SELECT w1, w2, count(*) AS n FROM grams WHERE w2 IS NOT NULL GROUP BY ALL),
-x AS (SELECT w1, w3, count(*) AS n FROM grams WHERE w3 IS NOT NULL GROUP BY ALL),
-t AS (SELECT w1, w2, w3, count(*) AS n_iii FROM grams WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
+w AS MATERIALIZED (SELECT w1, count(*) AS n FROM grams GROUP BY ALL),
+p AS MATERIALIZED (SELECT w1, w2, count(*) AS n FROM grams WHERE w2 IS NOT NULL GROUP BY ALL),
+x AS MATERIALIZED (SELECT w1, w3, count(*) AS n FROM grams WHERE w3 IS NOT NULL GROUP BY ALL),
+t AS MATERIALIZED (SELECT w1, w2, w3, count(*) AS n_iii FROM grams WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
 stats AS (SELECT t.*, n_iii AS "count", a.n AS n_iix, b.n AS n_ixi, coalesce(c.n, 0) AS n_xii,
                  d.n AS n_ixx, e.n AS n_xix, f.n AS n_xxi, (SELECT sum(n) FROM w) AS n_xxx
   FROM t LEFT JOIN p a ON a.w1 = t.w1 AND a.w2 = t.w2 LEFT JOIN x b ON b.w1 = t.w1 AND b.w3 = t.w3
@@ -302,12 +302,31 @@ SELECT t.*, a.n AS n_iix, b.n AS n_ixi, coalesce(c.n, 0) AS n_xii, d.n AS n_ixx,
   LEFT JOIN p c ON c.w1 = t.w2 AND c.w2 = t.w3 LEFT JOIN w d ON d.w1 = t.w1 LEFT JOIN w e ON e.w1 = t.w2
   LEFT JOIN w f ON f.w1 = t.w3"""
 
-_QUADGRAMS = f"""WITH {_LISTS}, {_next(4)},
-w AS (SELECT w1, count(*) AS n FROM grams GROUP BY ALL),
-q AS (SELECT w1, w2, w3, w4, count(*) AS n_iiii FROM grams WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
-stats AS (SELECT q.*, n_iiii AS "count", a.n AS n_ixxx, b.n AS n_xixx, c.n AS n_xxix, d.n AS n_xxxi,
-                 (SELECT sum(n) FROM w) AS n_xxxx
-  FROM q JOIN w a ON a.w1 = q.w1 JOIN w b ON b.w1 = q.w2 JOIN w c ON c.w1 = q.w3 JOIN w d ON d.w1 = q.w4)"""
+#: Marginals of a quadruple: the places they fix, and the places of the first words at which they are counted.
+_FIXED = {
+    "iiix": ((1, 2, 3), (1, 2, 3)), "iixi": ((1, 2, 4), (1, 2, 4)), "ixii": ((1, 3, 4), (1, 3, 4)), "xiii": ((2, 3, 4), (1, 2, 3)),
+    "iixx": ((1, 2), (1, 2)), "ixix": ((1, 3), (1, 3)), "ixxi": ((1, 4), (1, 4)), "xiix": ((2, 3), (1, 2)), "xixi": ((2, 4), (1, 3)),
+    "xxii": ((3, 4), (1, 2)), "ixxx": ((1,), (1,)), "xixx": ((2,), (1,)), "xxix": ((3,), (1,)), "xxxi": ((4,), (1,)),
+}
+
+
+def _quadgram_sql() -> str:
+    counted = sorted({places for _, places in _FIXED.values()})
+    tables, joins = [], []
+    for places in counted:
+        columns = ", ".join(f"w{j}" for j in places)
+        present = " AND ".join(f"w{j} IS NOT NULL" for j in places)
+        tables.append(f"c{''.join(map(str, places))} AS MATERIALIZED (SELECT {columns}, count(*) AS n FROM grams WHERE {present} GROUP BY ALL)")
+    for name, (fixed, places) in _FIXED.items():
+        on = " AND ".join(f"{name}.w{j} = q.w{i}" for i, j in zip(fixed, places))
+        joins.append(f"LEFT JOIN c{''.join(map(str, places))} {name} ON {on}")
+    marginals = ", ".join(f"coalesce({name}.n, 0) AS n_{name}" for name in _FIXED)
+    return f"""WITH {_LISTS}, {_next(4)}, {", ".join(tables)},
+q AS MATERIALIZED (SELECT w1, w2, w3, w4, count(*) AS n_iiii FROM grams WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
+stats AS (SELECT q.*, n_iiii AS "count", {marginals}, (SELECT sum(n) FROM c1) AS n_xxxx FROM q {" ".join(joins)})"""
+
+
+_QUADGRAMS = _quadgram_sql()
 _Q = _measure_sql(4)
 
 _CONTEXTS = f"""WITH {_LISTS},
@@ -361,7 +380,7 @@ SQL = {
     "trigram_collocations": f"""{_TRIGRAMS} SELECT w1, w2, w3, "count", {', '.join(_T[n] for n in TRIGRAM_NAMES)} FROM stats""",
     "trigram_window": _WIDE,
     "quadgram_collocations": f"""{_QUADGRAMS} SELECT w1, w2, w3, w4, "count",
-        {', '.join(_Q[n] for n in ('raw_freq', 'student_t', 'mi_like', 'pmi'))} FROM stats""",
+        {', '.join(_Q[n] for n in TRIGRAM_NAMES)} FROM stats""",
     "similar_words": f"""{_CONTEXTS} SELECT word, count(*) AS n_shared, CAST(sum(n * n_own) AS BIGINT) AS weight
         FROM contexts JOIN own USING ("left", "right") WHERE word <> '{WORD}' GROUP BY word ORDER BY n_shared DESC, word LIMIT 20""",
     "word_similarity": f"""{_CONTEXTS} SELECT word, count(n_own) AS n_shared,

@@ -292,10 +292,10 @@ def _candidates() -> str:
 
 
 _LEMMAS = f"""exceptions(word, class, lemma) AS (VALUES {', '.join(str(e) for e in EXCEPTIONS)}),
-candidates AS (SELECT word, class, 0 AS place, word AS lemma FROM forms UNION ALL
+candidates AS MATERIALIZED (SELECT word, class, 0 AS place, word AS lemma FROM forms UNION ALL
   SELECT f.word, f.class, 1, e.lemma FROM forms f JOIN exceptions e ON f.word = e.word AND f.class = e.class UNION ALL
   {_candidates()}),
-best AS (SELECT word, class, lemma FROM candidates JOIN known USING (lemma, class)
+best AS MATERIALIZED (SELECT word, class, lemma FROM candidates JOIN known USING (lemma, class)
          QUALIFY row_number() OVER (PARTITION BY word, class ORDER BY length(lemma), place) = 1),
 lemma_of AS (SELECT f.word, f.class, coalesce(b.lemma, f.word) AS lemma FROM forms f
              LEFT JOIN best b ON f.word = b.word AND f.class = b.class)"""
@@ -304,7 +304,7 @@ _NORMAL = f"""kept AS (SELECT doc_id, pos, token, lower(token) AS word FROM toke
   WHERE regexp_full_match(token, '\\p{{L}}+') AND lower(token) NOT IN ({sql_list(STOP_WORDS)})),
 placed AS (SELECT k.*, CASE left(coalesce(m.tag, 'NN'), 1) WHEN 'J' THEN 'a' WHEN 'V' THEN 'v' WHEN 'R' THEN 'r'
            ELSE 'n' END AS class FROM kept k LEFT JOIN model m ON m.word = k.token),
-forms AS (SELECT DISTINCT word, class FROM placed), {_LEMMAS},
+forms AS MATERIALIZED (SELECT DISTINCT word, class FROM placed), {_LEMMAS},
 normal AS (SELECT d.doc_id, coalesce(t.tokens, '') AS tokens FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(lemma, ' ' ORDER BY pos) AS tokens FROM placed p
   JOIN lemma_of l ON p.word = l.word AND p.class = l.class GROUP BY doc_id) t USING (doc_id))"""
@@ -408,7 +408,7 @@ SQL = {
           JOIN ready r ON r.turn_id = c.turn_id AND r.pos = c.pos + 1
           LEFT JOIN pairs p ON p.word = r.word AND p.previous = c.tag)
         SELECT turn_id, string_agg(tag, ' ' ORDER BY pos) AS tags FROM chain GROUP BY turn_id""",
-    "lemma_forms": f"""WITH {_TAGGED}, forms AS (SELECT DISTINCT word, class FROM classed), {_LEMMAS}
+    "lemma_forms": f"""WITH {_TAGGED}, forms AS MATERIALIZED (SELECT DISTINCT word, class FROM classed), {_LEMMAS}
         SELECT word, class AS pos, lemma FROM lemma_of""",
     "normalized_reviews": f"""WITH {_TAGGED}, {_TOKENS}, {_NORMAL}
         SELECT doc_id, tokens FROM normal""",
