@@ -1,5 +1,7 @@
 """Review moderation: identity, politeness, user bans, keyed upserts and the tally."""
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,31 @@ def ban_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BAN_LIMIT_KEY, str(DEFAULT_BAN_LIMIT)))
 
 
+@dataclass(frozen=True)
+class Settings:
+    """What a deployment may set: the names of its tables, and how many impolite reviews a user may write."""
+
+    reviews_table: str = "reviews"
+    users_table: str = "users"
+    ban_limit: int = DEFAULT_BAN_LIMIT
+
+
+REVIEWS_TABLE_KEY = "gleanery.moderation.reviewsTable"
+USERS_TABLE_KEY = "gleanery.moderation.usersTable"
+
+
+def settings(spark: SparkSession) -> Settings:
+    """The session's settings; what is unset or blank falls back to the defaults."""
+
+    def named(key: str, fallback: str) -> str:
+        return (spark.conf.get(key, None) or "").strip() or fallback
+
+    default = Settings()
+    return Settings(
+        named(REVIEWS_TABLE_KEY, default.reviews_table), named(USERS_TABLE_KEY, default.users_table), ban_limit(spark)
+    )
+
+
 def with_review_id(reviews: DataFrame, random_ids: bool = False) -> DataFrame:
     """The source id if there is one, otherwise a content hash, so that a retry gives the same id.
 
@@ -198,6 +225,12 @@ def summary(table: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+def named_summary(spark: SparkSession) -> DataFrame:
+    """The summary of the tables that the session's settings name."""
+    names = settings(spark)
+    return summary(spark.table(names.reviews_table), spark.table(names.users_table))
+
+
 def is_complete(table: DataFrame, expected: int) -> Column:
     """True once every expected review is there and none is pending."""
     return (

@@ -200,6 +200,21 @@ def summary_json(spark, sf_dir):
     return one.select(F.to_json(F.struct("*")).alias("summary"))
 
 
+def named_summary(spark, sf_dir):
+    """The summary over tables whose names the session sets, here views over the given documents."""
+    names = {mod.REVIEWS_TABLE_KEY: f"reviews_{uuid.uuid4().hex}", mod.USERS_TABLE_KEY: f"users_{uuid.uuid4().hex}"}
+    before = {key: spark.conf.get(key, None) for key in names}
+    for key, name in names.items():
+        spark.conf.set(key, name)
+    try:
+        mod.with_id_prefix(_review_table(spark, sf_dir)).createTempView(names[mod.REVIEWS_TABLE_KEY])
+        _users(spark, sf_dir).createTempView(names[mod.USERS_TABLE_KEY])
+        return mod.named_summary(spark).select(F.to_json(F.struct("*")).alias("summary"))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def pipeline_complete(spark, sf_dir):
     table_ = _review_table(spark, sf_dir)
     expected = reviews(spark, sf_dir).agg(F.count("*").alias("n"))
@@ -233,6 +248,7 @@ QUERIES = {
     "review_summary": review_summary,
     "banned_users": banned_users,
     "summary_json": summary_json,
+    "named_summary": named_summary,
     "pipeline_complete": pipeline_complete,
     "sequential_ids": sequential_ids,
 }
@@ -338,3 +354,4 @@ SQL = {
     "sequential_ids": """SELECT doc_id, printf('devset-%06d', row_number() OVER (ORDER BY source, doc_id) - 1)
         AS sourceId FROM documents""",
 }
+SQL["named_summary"] = SQL["summary_json"]

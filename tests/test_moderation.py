@@ -200,3 +200,21 @@ def test_ban_limit_setting(spark):
         assert mod.ban_limit(spark) == 5
     finally:
         spark.conf.unset(mod.BAN_LIMIT_KEY)
+
+
+def test_settings_fall_back_and_name_the_tables(spark):
+    assert mod.settings(spark) == mod.Settings("reviews", "users", 3)
+    rows = "reviewId string, userId string, summary string, reviewText string, overall double, profanityCheck string, sentiment string, sentimentScore string, ratingSentimentAgreement boolean"
+    spark.createDataFrame([("a", "u", "", "", 1.0, "impolite", None, None, None)], rows).createOrReplaceTempView("other_reviews")
+    spark.createDataFrame([("u", 4, True)], "userId string, impoliteCount long, banned boolean").createOrReplaceTempView("other_users")
+    spark.conf.set(mod.REVIEWS_TABLE_KEY, "other_reviews")
+    spark.conf.set(mod.USERS_TABLE_KEY, " ")
+    try:
+        assert mod.settings(spark) == mod.Settings("other_reviews", "users", 3)
+        spark.conf.set(mod.USERS_TABLE_KEY, "other_users")
+        found = mod.named_summary(spark).first()
+        assert (found.totalReviews, found.profanityFailCount, found.bannedUserCount) == (1, 1, 1)
+        assert found.sentimentCounts == {"pending": 1}
+    finally:
+        spark.conf.unset(mod.REVIEWS_TABLE_KEY)
+        spark.conf.unset(mod.USERS_TABLE_KEY)
