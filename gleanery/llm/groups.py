@@ -45,20 +45,21 @@ def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def spanning_edges(n: int, linked) -> list[tuple[int, int]]:
-    """A spanning forest of a graph on 0..n-1; `linked(i, rest)` tells which of `rest` have an edge to i.
+    """The connected components of a graph on 0..n-1 as stars: (least node, other node) for every other node.
 
-    Each node is compared only with nodes not reached yet, so a group that hangs together costs little more than its
-    size.
+    `linked(i, rest)` tells which of `rest` have an edge to i. Each node is compared only with nodes not reached yet, so
+    a group that hangs together costs little more than its size.
     """
     edges = []
     rest = np.arange(n)
     while len(rest) > 1:
-        queue, rest = [int(rest[0])], rest[1:]
+        centre = int(rest[0])
+        queue, rest = [centre], rest[1:]
         while queue and len(rest):
             i = queue.pop()
             hit = linked(i, rest)
             found = rest[hit].tolist()
-            edges += [(i, j) for j in found]
+            edges += [(centre, j) for j in found]
             queue += found
             rest = rest[~hit]
     return edges
@@ -87,6 +88,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     `edges` has longs a and b. Alternates large-star and small-star steps (Kiveris et al., 2014) until nothing
     changes; every round is written to the shared folder. The loop's driver sees a count and a checksum only.
+
+    Every edge is held once, its larger node first. The larger neighbours of a node are then the edges that end in it,
+    and its least neighbour is the least end of those that start from it, so neither step turns edges around.
     """
     state = kept(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -94,16 +98,12 @@ def components(edges: DataFrame) -> DataFrame:
     before = None
     while (now := _checksum(state)) != before:
         before = now
-        both = state.union(state.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        least = state.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
+        large = state.join(least, F.col("b") == F.col("node"), "left").select("a", F.coalesce("m", "b").alias("b"))
         lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a")
-        state = kept(
-            small.select("a", F.col("m").alias("b"))
-            .union(small.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")))
-            .distinct()
-        )
+        ends = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        small = large.join(lowest, "a").select(F.inline(ends))
+        state = kept(small.filter("a <> b").distinct())
     return state.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
