@@ -5,32 +5,37 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The kinds of token in the order in which they are tried.
-MOUTHS = r"[)\](\[dDpP/:}{@|\\]"
-EMOTICON = rf"(?:[<>]?[:;=8][\-o*']?{MOUTHS}|{MOUTHS}[\-o*']?[:;=8][<>]?|</?3)"
+# Fixed values, as patterns that must match: the kinds of token in the order in which they are tried.
+EMOTICON = (
+    r"(?:[<>]?[:;=8][\-o\*\']?[\)\]\(\[dDpP/\:\}\{@\|\\]"
+    r"|[\)\]\(\[dDpP/\:\}\{@\|\\][\-o\*\']?[:;=8][<>]?"
+    r"|</?3)"
+)
 WEB_ADDRESS = (
     r"(?:https?:(?:/{1,3}|[a-z0-9%])|[a-z0-9.\-]+[.](?:[a-z]{2,13})/)"
     r"(?:[^\s()<>{}\[\]]+|\([^\s()]*?\([^\s()]+\)[^\s()]*?\)|\([^\s]+?\))+"
     r"(?:\([^\s()]*?\([^\s()]+\)[^\s()]*?\)|\([^\s]+?\)|[^\s`!()\[\]{};:'\".,<>?«»“”‘’])"
     r"|(?:(?<!@)[a-z0-9]+(?:[.\-][a-z0-9]+)*[.](?:[a-z]{2,13})\b/?(?!@))"
 )
-PHONE = r"(?:(?:\+?[01][ *\-.)]*)?(?:\(?\d{3}[ *\-.)]*)?\d{3}[ *\-.)]*\d{4})"
+PHONE = r"(?:(?:\+?[01][ *\-.\)]*)?(?:[\(]?\d{3}[ *\-.\)]*)?\d{3}[ *\-.\)]*\d{4})"
 OTHER = [
     r"<[^>\s]+>",
-    r"\-+>|<\-+",
-    r"@\w+",
-    r"#+\w+[\w'\-]*\w+",
-    r"[\w.+\-]+@[\w\-]+\.(?:[\w\-]\.?)+[\w\-]",
+    r"[\-]+>|<[\-]+",
+    r"(?:@[\w_]+)",
+    r"(?:\#+[\w_]+[\w\'_\-]*[\w_]+)",
+    r"[\w.+-]+@[\w-]+\.(?:[\w-]\.?)+[\w-]",
     r".(?:[\x{1F3FB}-\x{1F3FF}]?(?:\x{200D}.[\x{1F3FB}-\x{1F3FF}]?)+|[\x{1F3FB}-\x{1F3FF}])",
     r"[\x{1F1E6}-\x{1F1FF}]{2}",
-    r"\x{1F3F4}\x{E0067}\x{E0062}(?:\x{E0065}\x{E006E}\x{E0067}|\x{E0073}\x{E0063}\x{E0074}|\x{E0077}\x{E006C}\x{E0073})\x{E007F}",
-    r"[^\W\d_](?:[^\W\d_]|['\-_])+[^\W\d_]",
-    r"[+\-]?\d+[,/.:\-]\d+[+\-]?",
-    r"\w+",
-    r"\.(?:\s*\.)+",
-    r"\S",
+    r"\x{1F3F4}\x{E0067}\x{E0062}\x{E0065}\x{E006E}\x{E0067}\x{E007F}",
+    r"\x{1F3F4}\x{E0067}\x{E0062}\x{E0073}\x{E0063}\x{E0074}\x{E007F}",
+    r"\x{1F3F4}\x{E0067}\x{E0062}\x{E0077}\x{E006C}\x{E0073}\x{E007F}",
+    r"(?:[^\W\d_](?:[^\W\d_]|['\-_])+[^\W\d_])",
+    r"(?:[+\-]?\d+[,/.:-]\d+[+\-]?)",
+    r"(?:[\w_]+)",
+    r"(?:\.(?:\s*\.){1,})",
+    r"(?:\S)",
 ]
-HANDLE = r"(?<![A-Za-z0-9_!@#$%&*])@(?:[A-Za-z0-9_]{15}(?!@)|[A-Za-z0-9_]{1,14}(?![A-Za-z0-9_]*@))"
+HANDLE = r"(?<![A-Za-z0-9_!@#\$%&*])@(([A-Za-z0-9_]){15}(?!@)|([A-Za-z0-9_]){1,14}(?![A-Za-z0-9_]*@))"
 ENTITY = "&#?x?[^&;\\s]+;"
 
 
