@@ -86,6 +86,19 @@ def test_components_of_a_chain_and_a_star(spark):
     assert groups.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_unique_texts_of_repeated_ids_stay(spark):
+    draw = random.Random(5)
+    a, b, c = (" ".join(f"{n}{draw.randrange(500)}" for _ in range(120)) for n in "abc")
+    near = edited(a.split(), 1, draw)
+    rows = [(3, a), (5, a), (5, b), (6, c), (6, near), (7, c.upper()), (None, a), (8, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, _h string")
+    got = minhash_join.deduplicated(docs)
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    kept = [(3, a), (5, b), (6, c), (6, near), (None, a), (8, None)]
+    assert sorted(map(str, left)) == sorted(map(str, kept))
+
+
 def test_query(spark, sf_dir, texts):
     got = sorted(map(tuple, queries.op6_minhash_join(spark, sf_dir).collect()))
     assert got == sorted(expected(texts))
