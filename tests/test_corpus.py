@@ -1,12 +1,14 @@
 import inspect
 import math
 import random
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions import distances, json_fields, stems
+from gleanery.functions.tokenize import letter_words
 from gleanery.operators import (
     agreement,
     bayes,
@@ -367,3 +369,15 @@ def test_ranks_of_real_scores_over_many_parts(spark):
         assert {r.k: r["rank"] for r in found.collect()} == expected
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
+def test_every_marginal_is_counted_over_its_own_places(spark):
+    docs = spark.createDataFrame([("a b c a b d a b c",), ("b a",), (None,)], "text string")
+    for made, n in ((collocations.trigrams, 3), (collocations.quadgrams, 4)):
+        grams = made(docs, letter_words(F.col("text")))
+        plan = grams._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(r"Aggregate \[" + ", ".join([r"w\d#\d+"] * n) + r"\]", plan)) == 1
+    found = {(r.w1, r.w2, r.w3): r for r in collocations.trigrams(docs, letter_words(F.col("text")), 4).collect()}
+    one = found["a", "b", "c"]
+    # Four positions hold a; each counts once per choice of two later places among three.
+    assert (one["count"], one.n_ixx, one.n_iix, one.n_ixi, one.n_xxx) == (2, 12, 6, 2, 33)
