@@ -4,16 +4,25 @@ A feature is a pair of a term and a label that occur together in training; every
 are. A correction feature fills each document up to the same number of features under every label. A round compares
 how often features occurred with how often the model expects them, both counted by aggregates, and shifts each weight by
 the logarithm of their ratio over that number. Weights stay a table; nothing of the vocabulary's size reaches the driver.
+
+Documents are packed into blocks of some BLOCK occurrences of terms, once. A round sends each block the weights of its
+distinct terms and gets back how often it expects them, so what it moves grows with the distinct terms of the blocks and
+not with the occurrences times the labels.
 """
 
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.sources.tables import ensure_checkpoint_dir
 
+#: Occurrences of terms (a document has one for each of its distinct terms) in a block of documents, about.
+BLOCK = 400_000
+
 
 @dataclass
 class MaxentModel:
@@ -26,24 +35,70 @@ class MaxentModel:
 
 
 def _scores(uses: DataFrame, keys: DataFrame, labels: list, correction: float, filled: int) -> DataFrame:
-    """key, and a column of scores per label, from rows (key, label, weight) of the features present."""
-    per_label = [
-        agg
-        for i, name in enumerate(labels)
-        for agg in (
-            F.sum(F.when(F.col("label") == name, F.col("weight"))).alias(f"w{i}"),
-            F.count(F.when(F.col("label") == name, 1)).alias(f"c{i}"),
-        )
-    ]
-    summed = uses.groupBy("key").agg(*per_label)
+    """key, and a column of scores per label, from a row (key, w0, w1, …) for each term: its weights, null where it has none."""
+    sums = [agg for i in range(len(labels)) for agg in (F.sum(f"w{i}").alias(f"w{i}"), F.count(f"w{i}").alias(f"c{i}"))]
+    summed = uses.groupBy("key").agg(*sums)
 
     def score(i: int) -> Column:
         present = F.coalesce(F.col(f"w{i}"), F.lit(0.0))
         return present + (F.lit(filled) - F.coalesce(F.col(f"c{i}"), F.lit(0))) * F.lit(correction)
 
     columns = [score(i).alias(f"s{i}") for i in range(len(labels))]
-    counts = [F.coalesce(F.col(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(labels))]
-    return keys.join(summed, "key", "left").select("key", *columns, *counts)
+    return keys.join(summed, "key", "left").select("key", *columns)
+
+
+def _packed(terms: DataFrame, keys: DataFrame, n_present: int) -> DataFrame:
+    """block, times (of each document among the rows), docs and places (the document and the term of each occurrence), terms."""
+    times = keys.groupBy("key").agg(F.count("*").alias("times"))
+    blocks = F.pmod(F.xxhash64("key"), F.lit(n_present // BLOCK + 1)).alias("block")
+    found = terms.where("term IS NOT NULL").join(times, "key").select(blocks, "key", "times", "term")
+
+    def pack(group: pa.Table) -> pa.Table:
+        docs, terms = (group.column(c).combine_chunks().dictionary_encode() for c in ("key", "term"))
+        at = docs.indices.to_numpy()
+        times = np.zeros(len(docs.dictionary), np.int64)
+        times[at] = group.column("times").to_numpy()
+        one = [group.column("block")[0].as_py(), times, at, terms.indices.to_numpy(), terms.dictionary.to_pylist()]
+        kinds = [pa.int64(), *[pa.list_(kind) for kind in (pa.int64(), pa.int32(), pa.int32(), pa.string())]]
+        names = ["block", "times", "docs", "places", "terms"]
+        return pa.table({name: pa.array([value], kind) for name, value, kind in zip(names, one, kinds)})
+
+    schema = "block long, times array<long>, docs array<int>, places array<int>, terms array<string>"
+    return found.groupBy("block").applyInArrow(pack, schema)
+
+
+def _expected(packed: DataFrame, needed: DataFrame, weights: DataFrame, k: int, correction: float, filled: int) -> DataFrame:
+    """(term, e0, e1, …): how often a block expects its terms under each label; where the term is null, e0 is the filling."""
+    given = needed.join(weights, "term").select("block", "place", "term", *[f"w{i}" for i in range(k)])
+
+    def expect(blocks: pa.Table, given: pa.Table) -> pa.Table:
+        made = {c: [] for c in ("term", *[f"e{i}" for i in range(k)])}
+        if len(blocks):
+            times, docs, places = (blocks.column(c).combine_chunks().flatten().to_numpy() for c in ("times", "docs", "places"))
+            at = given.column("place").to_numpy()
+            held = np.full((max(places.max(initial=-1), at.max(initial=-1)) + 1, k), np.nan)
+            for i in range(k):
+                held[at, i] = given.column(f"w{i}").to_numpy()
+            has, weight = ~np.isnan(held), np.nan_to_num(held)
+            n = np.column_stack([np.bincount(docs, has[places, i], len(times)) for i in range(k)])
+            s = np.column_stack([np.bincount(docs, weight[places, i], len(times)) for i in range(k)]) + (filled - n) * correction
+            raw = np.exp(s - s.max(1, keepdims=True))
+            p = raw / raw.sum(1, keepdims=True) * times[:, None]
+            made["term"] = pa.concat_arrays([given.column("term").cast(pa.string()).combine_chunks(), pa.nulls(1, pa.string())])
+            for i in range(k):
+                counted = np.where(has[:, i], np.bincount(places, p[docs, i], len(held)), 0.0)
+                made[f"e{i}"] = np.append(counted[at], (p * (filled - n)).sum() if i == 0 else 0.0)
+        return pa.table({c: pa.array(v, pa.string() if c == "term" else pa.float64()) for c, v in made.items()})
+
+    schema = ", ".join(["term string", *[f"e{i} double" for i in range(k)]])
+    blocks = packed.select(F.col("block").alias("own"), "times", "docs", "places")
+    return blocks.groupBy("own").cogroup(given.groupBy("block")).applyInArrow(expect, schema)
+
+
+def _wide(pairs: DataFrame, labels: list, value: str, name: str) -> DataFrame:
+    """A row for each term with a column for each label, null where the pair is missing."""
+    columns = [F.max(F.when(F.col("label") == label, F.col(value))).alias(f"{name}{i}") for i, label in enumerate(labels)]
+    return pairs.groupBy("term").agg(*columns)
 
 
 def train(present: DataFrame, rows: DataFrame, key: str, label: str, rounds: int = 10) -> MaxentModel:
@@ -53,35 +108,37 @@ def train(present: DataFrame, rows: DataFrame, key: str, label: str, rounds: int
     labels = [r[0] for r in rows.select(label).distinct().orderBy(label).collect()]
     terms = present.select(F.col(key).alias("key"), F.col(label).alias("own"), "term").checkpoint()
     pairs = terms.groupBy("term", F.col("own").alias("label")).agg(F.count("*").alias("seen")).checkpoint()
-    uses = terms.select("key", "term").join(pairs.select("term", "label"), "term").checkpoint()
     sizes = terms.groupBy("key").agg(F.count("*").alias("n"))
     n_rows = keys.count()
     filled, n_present = sizes.agg(F.max("n"), F.sum("n")).first()
     if not filled:
         return MaxentModel(pairs.select("term", "label", F.lit(0.0).alias("weight")), labels, 0.0, 0)
     seen_correction = n_rows * filled - n_present
-    weights, correction = pairs.withColumn("weight", F.lit(0.0)), 0.0
-    k = len(labels)
+    k, correction = len(labels), 0.0
+    packed = _packed(terms, keys, n_present).checkpoint()
+    needed = packed.select("block", F.posexplode("terms").alias("place", "term")).checkpoint()
+    n_packed = packed.agg(F.sum(F.aggregate("times", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
+    starts = [F.when(F.col(f"seen{i}").isNotNull(), 0.0).alias(f"w{i}") for i in range(k)]
+    weights = _wide(pairs, labels, "seen", "seen").select("*", *starts)
     for _ in range(rounds):
-        scored = _scores(uses.join(weights, ["term", "label"]), keys, labels, correction, filled)
-        top = F.greatest(*[F.col(f"s{i}") for i in range(k)]) if k > 1 else F.col("s0")
-        scaled = scored.withColumn("top", top)
-        raw = [F.exp(F.col(f"s{i}") - F.col("top")) for i in range(k)]
-        total = sum(raw[1:], raw[0])
-        chances = F.array(*[F.struct(F.lit(name).alias("label"), (r / total).alias("p"), F.col(f"c{i}").alias("c")) for i, (name, r) in enumerate(zip(labels, raw))])
-        likely = scaled.select("key", F.inline(chances)).checkpoint()
-        expected = uses.join(likely, ["key", "label"]).groupBy("term", "label").agg(F.sum("p").alias("expected"))
-        filling = likely.agg(F.sum(F.col("p") * (F.lit(filled) - F.col("c")))).first()[0]
-        moved = F.col("weight") + F.log(F.col("seen") / F.col("expected")) / filled
-        weights = weights.join(expected, ["term", "label"]).select("term", "label", "seen", moved.alias("weight")).checkpoint()
+        found = _expected(packed, needed, weights, k, correction, filled).checkpoint()
+        expected = found.where("term IS NOT NULL").groupBy("term").agg(*[F.sum(f"e{i}").alias(f"e{i}") for i in range(k)])
+        # Documents without terms are filled up under every label.
+        filling = (found.where("term IS NULL").agg(F.sum("e0")).first()[0] or 0.0) + (n_rows - n_packed) * filled
+        moved = [
+            F.when(F.col(f"w{i}").isNotNull(), F.col(f"w{i}") + F.log(F.col(f"seen{i}") / F.col(f"e{i}")) / filled).alias(f"w{i}")
+            for i in range(k)
+        ]
+        weights = weights.join(expected, "term").select("term", *[f"seen{i}" for i in range(k)], *moved).checkpoint()
         if seen_correction > 0 and filling > 0:
             correction += float(math.log(seen_correction / filling)) / filled
-    return MaxentModel(weights.select("term", "label", "weight"), labels, correction, filled)
+    listed = F.array(*[F.struct(F.lit(name).alias("label"), F.col(f"w{i}").alias("weight")) for i, name in enumerate(labels)])
+    return MaxentModel(weights.select("term", F.inline(listed)).where("weight IS NOT NULL"), labels, correction, filled)
 
 
 def classify(model: MaxentModel, present: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Add `predicted`: the label of the highest score (rounded to nine digits; of equal ones the first label)."""
-    uses = present.select(F.col(key).alias("key"), "term").join(model.weights, "term")
+    uses = present.select(F.col(key).alias("key"), "term").join(_wide(model.weights, model.labels, "weight", "w"), "term")
     scored = _scores(uses, rows.select(F.col(key).alias("key")).distinct(), model.labels, model.correction, model.filled)
     scores = F.array(*[F.round(f"s{i}", 9) for i in range(len(model.labels))])
     names = F.array(*[F.lit(name) for name in model.labels])

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gleanery.operators import linkage, maxent, mixtures, trees
 
@@ -71,6 +72,17 @@ def test_maxent_without_terms(corpus):
     assert {r.predicted for r in maxent.classify(model, present, docs, "doc_id").collect()} == {"a"}
 
 
+def test_maxent_over_blocks_of_documents(corpus, monkeypatch):
+    rows, docs, present = corpus
+    one = {(r.term, r.label): r.weight for r in maxent.train(present, docs, "doc_id", "lang", 3).weights.collect()}
+    monkeypatch.setattr(maxent, "BLOCK", 40)
+    terms, keys = present.select(F.col("doc_id").alias("key"), "term"), docs.select(F.col("doc_id").alias("key"))
+    packed = maxent._packed(terms, keys, present.count()).collect()
+    assert len(packed) > 3 and sum(len(r.places) for r in packed) == present.count()
+    many = {(r.term, r.label): r.weight for r in maxent.train(present, docs, "doc_id", "lang", 3).weights.collect()}
+    assert many == pytest.approx(one)
+
+
 def plain_tree(rows, depth, support, node=1, level=0):
     counts = Counter(c for _, c, _ in rows)
     predicted = min(counts, key=lambda c: (-counts[c], c))
