@@ -1,6 +1,7 @@
 """A small character convolutional network in numpy, with calibrated scores and a recall-constrained threshold."""
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 
@@ -45,6 +46,9 @@ class CharNet:
             "out": draw.normal(0, 0.1, 2 * FILTERS),
             "shift": np.zeros(1),
         }
+        self.first = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self.second = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self.steps = 0
         self.slope, self.offset, self.threshold = 1.0, 0.0, math.inf
 
     def _forward(self, ids: np.ndarray, inside: np.ndarray) -> tuple:
@@ -87,30 +91,37 @@ class CharNet:
             "shift": np.array([error.sum()]),
         }
 
+    def state(self) -> np.ndarray:
+        """The weights and both moments of Adam, in one row."""
+        return np.concatenate([part[k].ravel() for part in (self.weights, self.first, self.second) for k in self.weights])
+
+    def restore(self, state: np.ndarray) -> None:
+        at = 0
+        for part in (self.weights, self.first, self.second):
+            for k, w in self.weights.items():
+                part[k] = state[at : at + w.size].reshape(w.shape).copy()
+                at += w.size
+
     def train(
-        self, windows: list[tuple[str, int, int]], labels: np.ndarray, epochs: int = 8, size: int = 64, rate: float = 0.01
-    ) -> None:
-        """Adam over shuffled batches. Half of the windows lose their context in each epoch, so that the candidate's
-        own characters have to tell as well; both classes weigh the same."""
-        draw = np.random.default_rng(11)
-        first = {k: np.zeros_like(v) for k, v in self.weights.items()}
-        second = {k: np.zeros_like(v) for k, v in self.weights.items()}
+        self, windows: list[tuple[str, int, int]], labels: np.ndarray, draw: np.random.Generator, size: int = 64, rate: float = 0.01
+    ) -> int:
+        """An epoch of Adam over shuffled batches; returns its steps. Half of the windows lose their context, so that the
+        candidate's own characters have to tell as well; both classes weigh the same."""
         classes = [np.flatnonzero(labels == c) for c in (0, 1)]
         n = max(map(len, classes))
-        step = 0
-        for _ in range(epochs):
-            order = draw.permutation(np.concatenate([draw.choice(c, n, replace=len(c) < n) for c in classes]))
-            for at in range(0, len(order), size):
-                pick = order[at : at + size]
-                batch = [windows[i] for i in pick]
-                bare = draw.random(len(batch)) < 0.5
-                batch = [(t[a:b], 0, b - a) if x else (t, a, b) for (t, a, b), x in zip(batch, bare)]
-                step += 1
-                for k, g in self.gradients(*padded(batch), labels[pick]).items():
-                    first[k] = 0.9 * first[k] + 0.1 * g
-                    second[k] = 0.999 * second[k] + 0.001 * g * g
-                    scale = math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-                    self.weights[k] -= rate * scale * first[k] / (np.sqrt(second[k]) + 1e-8)
+        order = draw.permutation(np.concatenate([draw.choice(c, n, replace=len(c) < n) for c in classes]))
+        for at in range(0, len(order), size):
+            pick = order[at : at + size]
+            batch = [windows[i] for i in pick]
+            bare = draw.random(len(batch)) < 0.5
+            batch = [(t[a:b], 0, b - a) if x else (t, a, b) for (t, a, b), x in zip(batch, bare)]
+            self.steps += 1
+            for k, g in self.gradients(*padded(batch), labels[pick]).items():
+                self.first[k] = 0.9 * self.first[k] + 0.1 * g
+                self.second[k] = 0.999 * self.second[k] + 0.001 * g * g
+                scale = math.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
+                self.weights[k] = self.weights[k] - rate * scale * self.first[k] / (np.sqrt(self.second[k]) + 1e-8)
+        return -(-len(order) // size)
 
     def scores(self, windows: list[tuple[str, int, int]]) -> np.ndarray:
         """Calibrated probabilities. Windows are scored with others of about their length, in bounded batches."""
@@ -126,33 +137,36 @@ class CharNet:
             at += len(pick)
         return found
 
-    def calibrate(self, windows: list[tuple[str, int, int]], labels: np.ndarray) -> None:
-        """Platt scaling on held-out windows, by Newton steps on two parameters with smoothed targets."""
-        self.slope, self.offset = 1.0, 0.0
-        p = np.clip(self.scores(windows), 1e-9, 1 - 1e-9)
-        z = np.log(p / (1 - p))
-        good, bad = labels.sum(), (1 - labels).sum()
-        target = np.where(labels == 1, (good + 1) / (good + 2), 1 / (bad + 2))
+    def calibrate(self, sums: Callable[[float, float], np.ndarray]) -> None:
+        """Platt scaling by Newton steps on two parameters.
+
+        `sums(a, b)` adds up, over all held-out windows, with q the chance at slope a and offset b, the target less q and
+        w = q (1 - q): (q - target) z, q - target, w z z, w z, w.
+        """
         a, b = 1.0, 0.0
         for _ in range(30):
-            q = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-            w = np.maximum(q * (1 - q), 1e-9)
-            gradient = np.array([((q - target) * z).sum(), (q - target).sum()])
-            hessian = np.array([[(w * z * z).sum() + 1e-3, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
-            move = np.linalg.solve(hessian, gradient)
-            a, b = a - np.clip(move[0], -1, 1), b - np.clip(move[1], -1, 1)
-        self.slope, self.offset = float(a), float(b)
+            gz, g, wzz, wz, w = sums(a, b)
+            move = np.linalg.solve(np.array([[wzz + 1e-3, wz], [wz, w + 1e-3]]), np.array([gz, g]))
+            a, b = a - float(np.clip(move[0], -1, 1)), b - float(np.clip(move[1], -1, 1))
+            if np.abs(move).max() < 1e-9:
+                break
+        self.slope, self.offset = a, b
 
     def constrain(self, scores: np.ndarray, recall: float, level: float) -> None:
-        """The highest threshold at which the recall is `recall` or more with confidence 1 - `level`.
-
-        Of n held-out findings it may miss as many m as keep the binomial probability of m or fewer misses, at a miss
-        rate of 1 - recall, within the level. With too few findings nothing can be shown and nothing passes.
-        """
-        n, miss = len(scores), 1 - recall
-        term, total, m = (1 - miss) ** n, 0.0, -1
-        while m + 1 <= n and total + term <= level:
-            m += 1
-            total += term
-            term *= (n - m) / (m + 1) * miss / (1 - miss)
-        self.threshold = float(np.sort(scores)[m]) if 0 <= m < n else math.inf
+        """The highest threshold at which the recall is `recall` or more with confidence 1 - `level`. With too few findings
+        nothing can be shown and nothing passes."""
+        m = misses_allowed(len(scores), recall, level)
+        self.threshold = float(np.sort(scores)[m]) if m >= 0 else math.inf
+
+
+def misses_allowed(n: int, recall: float, level: float) -> int:
+    """Of n held-out findings, as many m may be missed as keep the binomial probability of m or fewer misses, at a miss rate
+    of 1 - recall, within the level; -1 if not even none. Terms are taken from logarithms: their first ones may be too small for a double."""
+    miss, total, m = 1 - recall, 0.0, -1
+    while m + 1 < n:
+        k = m + 1
+        total += math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(miss) + (n - k) * math.log1p(-miss))
+        if total > level:
+            break
+        m = k
+    return m

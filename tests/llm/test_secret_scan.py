@@ -1,9 +1,11 @@
 import hashlib
+import math
 import random
 import re
 
 import numpy as np
 from corpus_cases import ODD
+from pyspark.sql import functions as F
 
 from gleanery.llm import char_cnn, queries, secret_scan
 
@@ -121,6 +123,38 @@ def test_network_adds_what_the_rules_miss(spark):
         assert got[i].base == named and set(filter(None, named.split(","))) <= set(got[i].spans.split(","))
 
 
+def test_network_learns_from_all_labelled_pieces(spark, monkeypatch):
+    monkeypatch.setattr(secret_scan, "SHARD", 100)
+    monkeypatch.setattr(secret_scan, "EPOCHS", 3)
+    seen = {}
+
+    def trained(net, fit):
+        seen["fit"], seen["sizes"] = fit.count(), [r["count"] for r in fit.groupBy("shard").count().collect()]
+        seen["labels"] = fit.groupBy("shard").agg(F.countDistinct("label").alias("n")).agg(F.min("n")).first()[0]
+        seen["distinct"] = fit.select("doc", "first", "window").distinct().count()
+        before = net.state()
+        real(net, fit)
+        assert net.steps > 0 and (net.state() != before).any()
+
+    real = secret_scan._trained
+    monkeypatch.setattr(secret_scan, "_trained", trained)
+    rows, _ = corpus(900)
+    found = secret_scan.scanned(spark.createDataFrame(rows, "doc_id long, text string")).checkpoint()
+    each = found.select("doc", F.inline("candidates")).where("label < 2").withColumn("h", F.xxhash64("doc", "first", "window"))
+    net = secret_scan.fitted(found)
+    assert seen["distinct"] == each.where("h & 1 = 0").count()
+    assert len(seen["sizes"]) > 3 and seen["labels"] == 2 and max(seen["sizes"]) < 700
+    # The threshold is the score of the held-out finding that may just be missed, of all of them.
+    scores = np.sort(net.scores([secret_scan.placed(r["first"], r["last"], r["window"]) for r in each.where("h & 1 = 1 AND label = 1").collect()]))
+    assert abs(scores[char_cnn.misses_allowed(len(scores), 0.9, 0.05)] - net.threshold) < 1e-6
+
+
+def test_misses_of_very_many_findings():
+    assert char_cnn.misses_allowed(100, 0.9, 0.05) == 4
+    # 0.9 ** 20000 is no double; the bound is near the mean less 1.645 standard deviations.
+    assert abs(char_cnn.misses_allowed(20_000, 0.9, 0.05) - (2000 - 1.645 * math.sqrt(1800))) < 3
+
+
 def test_odd_rows(odd, empty):
     rows = secret_scan.secrets(odd).collect()
     assert sorted((r.n_assign, r.n_access, r.n_hex) for r in rows) == sorted(
