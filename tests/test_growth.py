@@ -17,6 +17,12 @@ def _texts(spark, *texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
 
 
+def test_letter_words_are_not_filtered_one_by_one(spark):
+    found = _texts(spark, "2 Foo bar-foo", "", None, "42").select("doc_id", letter_words(F.col("text")).alias("ws"))
+    assert "lambda" not in _plan(found)
+    assert [r.ws for r in found.orderBy("doc_id").collect()] == [["foo", "bar", "foo"], [], [], []]
+
+
 def test_item_places_group_each_row_by_itself(spark):
     rows = _texts(spark, "b a b", "a", "", None)
     found = item_places(rows, ["doc_id"], F.split("text", " "), "token")
