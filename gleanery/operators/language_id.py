@@ -1,20 +1,60 @@
 """Language identification by the ranks of character trigrams."""
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gleanery.operators.row_items import ROWS
+from gleanery.sources.tables import ensure_checkpoint_dir
 
 START, END = "<", ">"
 
 
-def trigrams(text: Column) -> Column:
-    """Letter trigrams of every word with its end marks.
+def _marked(text: Column) -> Column:
+    """The words side by side as <one><two>."""
+    words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}]+", END + START)
+    return F.concat(F.lit(START), words, F.lit(END))
+
+
+def _counted(marked: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct letter trigrams of words with their end marks, most frequent first, ties by code point; and their counts.
 
-    The words stand side by side as <one><two>; a trigram is any three characters with no end
-    mark before its last place and no start mark after its first.
+    A trigram is any three characters with no end mark before its last place and no start mark after its first.
     """
-    words = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}]+", END + START)
-    marked = F.concat(F.lit(START), words, F.lit(END))
-    return F.regexp_extract_all(marked, F.lit("(?=([^>][^<>][^<]))"), F.lit(1))
+    c = np.frombuffer(marked.encode("utf-32-le"), "<u4").astype(np.int64)
+    first, second, third = c[:-2], c[1:-1], c[2:]
+    start, end = ord(START), ord(END)
+    inside = (first != end) & (second != start) & (second != end) & (third != start)
+    packed, n = np.unique((first << 42 | second << 21 | third)[inside], return_counts=True)
+    order = np.lexsort((packed, -n))
+    packed = packed[order]
+    letters = np.stack([packed >> 42, packed >> 21 & 0x1FFFFF, packed & 0x1FFFFF], axis=1).astype("<u4")
+    return letters.view("<U3").ravel(), n[order]
+
+
+def trigram_counts(documents: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+    """keep, place, trigram, n: each text's distinct trigrams in order of frequency, counted within its row."""
+    rows = documents.select(*keep, _marked(F.col(text)).alias("_marked"))
+    schema = rows.select(*keep).schema.add("place", T.IntegerType()).add("trigram", T.StringType()).add("n", T.LongType())
+    names = schema.names
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                found, counts = zip(*[_counted(m) for m in part.column(len(keep)).to_pylist()])
+                sizes = [len(f) for f in found]
+                row = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+                place = np.concatenate([np.arange(k, dtype="int32") for k in sizes])
+                columns = [part.column(i).take(row) for i in range(len(keep))]
+                columns += [pa.array(place), pa.array(np.concatenate(found).astype(object), pa.string()), pa.array(np.concatenate(counts).astype("int64"))]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.mapInArrow(counted, schema)
 
 
 def profiles(
@@ -22,9 +62,9 @@ def profiles(
 ) -> DataFrame:
     """The trigrams of each language with their rank by frequency, from 0; all of them, or the `size` first."""
     counts = (
-        labelled.select(F.col(language).alias("language"), F.explode(trigrams(F.col(text))).alias("trigram"))
+        trigram_counts(labelled.select(F.col(language).alias("language"), F.col(text).alias("text")), ["language"])
         .groupBy("language", "trigram")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"))
     )
     by_count = Window.partitionBy("language").orderBy(F.desc("n"), F.asc("trigram"))
     placed = counts.withColumn("place", F.row_number().over(by_count))
@@ -35,25 +75,7 @@ def profiles(
 
 def ranked_trigrams(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     """A text's distinct trigrams in order of frequency; counted and ranked within its row."""
-    ordered = documents.select(key, F.sort_array(trigrams(F.col(text))).alias("_t"))
-    starts = F.when(
-        F.size("_t") > 0,
-        F.filter(
-            F.sequence(F.lit(0), F.size("_t") - 1),
-            lambda i: (i == 0) | (F.get(F.col("_t"), i) != F.get(F.col("_t"), i - 1)),
-        ),
-    ).otherwise(F.array().cast("array<int>"))
-    placed = ordered.withColumn("_s", starts)
-    runs = F.transform(
-        "_s",
-        lambda at, k: F.struct(
-            (at - F.coalesce(F.get(F.col("_s"), k + 1), F.size("_t"))).alias("minus_n"),
-            F.get(F.col("_t"), at).alias("trigram"),
-        ),
-    )
-    return placed.select(key, F.posexplode(F.sort_array(runs)).alias("place", "run")).select(
-        key, "place", "run.trigram"
-    )
+    return trigram_counts(documents, [key], text).select(key, "place", "trigram")
 
 
 def distances(documents: DataFrame, profile: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -73,8 +95,11 @@ def guess(documents: DataFrame, profile: DataFrame, key: str, text: str = "text"
     """The language that lacks fewest trigrams, then the least out of place, then by name.
 
     A missing trigram weighs more than any displacement, so the two never need adding up. A text without a known
-    trigram lacks as many for every language, so its guess is the first by name.
+    trigram lacks as many for every language, so its guess is the first by name. The profile, which is read twice, is written
+    to the shared folder once.
     """
+    ensure_checkpoint_dir(documents.sparkSession)
+    profile = profile.checkpoint()
     best = F.min(F.struct((-F.col("n_found")).alias("m"), "out_of_place", "language")).alias("best")
     found = distances(documents, profile, key, text).groupBy(key).agg(best)
     first = profile.agg(F.min("language")).scalar()

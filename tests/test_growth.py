@@ -45,3 +45,11 @@ def test_tagged_words_know_the_word_before(spark, tmp_path):
     assert [(r.pos, r.word, r.tag) for r in found.orderBy("pos").collect()] == [
         (0, "le", "JJ"), (1, "chanted", "NN"), (2, "chanted", "VB"), (3, "le", "JJ")
     ]
+
+
+def test_trigrams_are_counted_within_their_text(spark):
+    found = language_id.trigram_counts(_texts(spark, "aaa aaa b", None, "𐐨𐐨"), ["doc_id"])
+    assert "lambda" not in _plan(language_id.ranked_trigrams(_texts(spark, "a"), "doc_id"))
+    assert [tuple(r) for r in found.orderBy("doc_id", "place").collect()] == [
+        (0, 0, "<aa", 2), (0, 1, "aa>", 2), (0, 2, "aaa", 2), (0, 3, "<b>", 1), (2, 0, "<𐐨𐐨", 1), (2, 1, "𐐨𐐨>", 1)
+    ]
