@@ -38,50 +38,37 @@ def letters(word: Column) -> Column:
     return F.array_remove(F.array_distinct(F.split(word, "")), "")
 
 
+def _jaro(a: str | None, b: str | None) -> float | None:
+    if a is None or b is None:
+        return None
+    reach = max(len(a), len(b)) // 2 - 1
+    taken, matched = set(), []
+    for i, letter in enumerate(a):
+        for j in range(max(0, i - reach), min(i + reach, len(b) - 1) + 1):
+            if b[j] == letter and j not in taken:
+                taken.add(j)
+                matched.append(letter)
+                break
+    m = len(matched)
+    if not m:
+        return 0.0
+    swapped = sum(c != b[j] for c, j in zip(matched, sorted(taken))) // 2
+    return (m / len(a) + m / len(b) + (m - swapped) / m) / 3
+
+
 def jaro_similarity(a: Column, b: Column) -> Column:
-    """Share of letters that match within reach of each other, less the swapped ones."""
-    kinds = "struct<taken:array<int>,matched:array<string>>"
-
-    def measured(p: Column) -> Column:
-        x, y, nx, ny = p["x"], p["y"], F.size(p["x"]), F.size(p["y"])
-        reach = F.floor(F.greatest(nx, ny) / 2).cast("int") - 1
-
-        def step(state: Column, letter: Column) -> Column:
-            first = F.greatest(F.lit(0), letter["i"] - reach)
-            last = F.least(letter["i"] + reach, ny - 1)
-            near = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-            free = F.filter(
-                near, lambda j: (F.get(y, j) == letter["c"]) & ~F.array_contains(state["taken"], j)
-            )
-            found = F.struct(
-                F.array_append(state["taken"], F.get(free, F.lit(0))).alias("taken"),
-                F.array_append(state["matched"], letter["c"]).alias("matched"),
-            )
-            return F.when(F.size(free) > 0, found.cast(kinds)).otherwise(state)
-
-        start = F.struct(F.array().alias("taken"), F.array().alias("matched")).cast(kinds)
-        places = F.transform(x, lambda c, i: F.struct(c.alias("c"), i.alias("i")))
-
-        def share(state: Column) -> Column:
-            m = F.size(state["taken"]).cast("double")
-            in_order = F.transform(F.array_sort(state["taken"]), lambda j: F.get(y, j))
-            moved = F.filter(F.zip_with(state["matched"], in_order, lambda c, d: c != d), lambda different: different)
-            swapped = F.floor(F.size(moved) / 2)
-            return F.when(m > 0, (m / nx + m / ny + (m - swapped) / m) / 3).otherwise(0.0)
-
-        return F.aggregate(places, start, step, share)
-
-    spelled = F.struct(F.array_remove(F.split(a, ""), "").alias("x"), F.array_remove(F.split(b, ""), "").alias("y"))
-    return F.transform(F.array(spelled), measured)[0]
-
-
-def jaro_winkler_similarity(a: Column, b: Column, p: float = 0.1, max_prefix: int = 4) -> Column:
-    """Jaro, raised by the length of the common prefix."""
-    prefix = F.lit(0)
+    """Share of letters that match within reach of each other, less the swapped ones; null if a side is."""
+    return F.udf(_jaro, "double", useArrow=True)(a, b)
+
+
+def jaro_winkler_similarity(a: Column, b: Column, p: float = 0.1, max_prefix: int = 4, jaro: Column | None = None) -> Column:
+    """Jaro, raised by the length of the common prefix; `jaro` is a column that holds it already, if there is one."""
+    prefix = F
     for n in range(max_prefix, 0, -1):
         same = (F.length(a) >= n) & (F.length(b) >= n) & (F.substring(a, 1, n) == F.substring(b, 1, n))
-        prefix = F.when(same & (prefix == 0), n).otherwise(prefix)
-    jaro = jaro_similarity(a, b)
+        prefix = prefix.when(same, n)
+    prefix = prefix.otherwise(0) if max_prefix > 0 else F.lit(0)
+    jaro = jaro_similarity(a, b) if jaro is None else jaro
     return jaro + prefix * F.lit(p) * (1 - jaro)
 
 

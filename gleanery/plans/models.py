@@ -194,11 +194,12 @@ def word_distances(spark, sf_dir):
 
 def word_similarities(spark, sf_dir):
     a, b = F.col("w1"), F.col("w2")
-    return _neighbours(spark, sf_dir).select(
+    measured = _neighbours(spark, sf_dir).withColumn("j", distances.jaro_similarity(a, b))
+    return measured.select(
         "w1",
         "w2",
-        F.round(distances.jaro_similarity(a, b), 9).alias("jaro"),
-        F.round(distances.jaro_winkler_similarity(a, b), 9).alias("jaro_winkler"),
+        F.round("j", 9).alias("jaro"),
+        F.round(distances.jaro_winkler_similarity(a, b, jaro=F.col("j")), 9).alias("jaro_winkler"),
     )
 
 

@@ -53,3 +53,13 @@ def test_trigrams_are_counted_within_their_text(spark):
     assert [tuple(r) for r in found.orderBy("doc_id", "place").collect()] == [
         (0, 0, "<aa", 2), (0, 1, "aa>", 2), (0, 2, "aaa", 2), (0, 3, "<b>", 1), (2, 0, "<𐐨𐐨", 1), (2, 1, "𐐨𐐨>", 1)
     ]
+
+
+def test_jaro_is_measured_once_a_pair(spark):
+    pairs = spark.createDataFrame([("martha", "marhta"), ("dwayne", "duane"), ("a", "a"), ("", "x"), (None, "x")], "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    found = pairs.withColumn("j", distances.jaro_similarity(a, b)).withColumn("w", distances.jaro_winkler_similarity(a, b, jaro=F.col("j")))
+    assert "lambda" not in _plan(found) and _plan(found).count("_jaro(") == 1
+    assert [(r.j and round(r.j, 4), r.w and round(r.w, 4)) for r in found.collect()] == [
+        (0.9444, 0.9611), (0.8222, 0.84), (0.0, 0.1), (0.0, 0.0), (None, None)
+    ]
