@@ -5,6 +5,7 @@ around them, go through the rules as columns.  One shuffle, on the review id.
 """
 
 from dataclasses import dataclass, field
+from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -99,38 +100,31 @@ def _emphasis(text: Column) -> Column:
 def _word_rows(reviews: DataFrame, key: str, text: Column) -> DataFrame:
     """One row per word with its neighbours, and one marker row (null word) per review."""
     split = reviews.select(key, _emphasis(text).alias("emphasis"), words(text).alias("ws"))
-    lowered = F.transform("ws", F.lower)
-    capitals = F.size(F.filter("ws", _upper))
+    # No letter but these has them as its lower case.
+    spellings = ["".join(letters) for letters in product("bB", "uU", "tT")]
     described = split.select(
         key,
         "emphasis",
         "ws",
         F.size("ws").alias("n_words"),
-        ((capitals > 0) & (capitals < F.size("ws"))).alias("mixed_case"),
-        F.nullif(F.array_position(lowered, "but"), F.lit(0)).alias("but_at"),
+        (F.exists("ws", _upper) & F.exists("ws", lambda w: ~_upper(w))).alias("mixed_case"),
+        F.least(*[F.nullif(F.array_position("ws", F.lit(s)), F.lit(0)) for s in spellings]).alias("but_at"),
     )
+    # Slices side by side, which generated code builds; a lambda would be interpreted at every word. The marker comes first.
+    n_rows = F.size("ws") + 1
 
-    def around(word: Column, i: Column) -> Column:
-        at = lambda offset: F.get(F.col("ws"), i + offset)
-        return F.struct(
-            (i + 1).cast("long").alias("pos"),
-            word.alias("w"),
-            at(-1).alias("p1"),
-            at(-2).alias("p2"),
-            at(-3).alias("p3"),
-            at(1).alias("n1"),
-            at(2).alias("n2"),
-        )
+    def before(by: int) -> Column:
+        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), by + 1), F.col("ws")), F.lit(1), n_rows)
 
-    none = F.lit(None).cast("string")
-    marker = F.struct(
-        F.lit(0).cast("long").alias("pos"),
-        *[none.alias(c) for c in ("w", "p1", "p2", "p3", "n1", "n2")],
-    )
-    rows = F.concat(F.array(marker), F.transform("ws", around))
-    return described.select(
-        key, "emphasis", "n_words", "mixed_case", "but_at", F.inline(rows)
+    def after(by: int) -> Column:
+        return F.concat(F.array(F.lit(None).cast("string")), F.slice("ws", by + 1, n_rows))
+
+    names = ["w", "p1", "p2", "p3", "n1", "n2"]
+    rows = F.arrays_zip(before(0), before(1), before(2), before(3), after(1), after(2)).cast(
+        "array<struct<" + ",".join(f"{n}:string" for n in names) + ">>"
     )
+    found = described.select(key, "emphasis", "n_words", "mixed_case", "but_at", F.posexplode(rows).alias("pos", "_at"))
+    return found.select(key, "emphasis", "n_words", "mixed_case", "but_at", F.col("pos").cast("long").alias("pos"), "_at.*")
 
 
 def _with_lexicon_flag(rows: DataFrame, lexicon: DataFrame, neighbour: str) -> DataFrame:

@@ -63,3 +63,33 @@ def test_jaro_is_measured_once_a_pair(spark):
     assert [(r.j and round(r.j, 4), r.w and round(r.w, 4)) for r in found.collect()] == [
         (0.9444, 0.9611), (0.8222, 0.84), (0.0, 0.1), (0.0, 0.0), (None, None)
     ]
+
+
+def test_word_rows_are_slices(spark):
+    rows = valence._word_rows(_texts(spark, "Ab BUT cd but", ""), "doc_id", F.col("text"))
+    assert "transform" not in _plan(rows)
+    assert [(r.doc_id, r.pos, r.w, r.p1, r.p2, r.p3, r.n1, r.n2, r.but_at, r.mixed_case) for r in rows.orderBy("doc_id", "pos").collect()] == [
+        (0, 0, None, None, None, None, None, None, 2, True),
+        (0, 1, "Ab", None, None, None, "BUT", "cd", 2, True),
+        (0, 2, "BUT", "Ab", None, None, "cd", "but", 2, True),
+        (0, 3, "cd", "BUT", "Ab", None, "but", None, 2, True),
+        (0, 4, "but", "cd", "BUT", "Ab", None, None, 2, True),
+        (1, 0, None, None, None, None, None, None, None, False),
+    ]
+
+
+def test_summary_reads_the_reviews_once(spark):
+    rows = [("1", "u", "impolite", "positive", True), ("2", "u", "clean", None, False), ("3", None, "clean", "positive", None)]
+    table = spark.createDataFrame(rows, "reviewId string, userId string, profanityCheck string, sentiment string, ratingSentimentAgreement boolean")
+    users = spark.createDataFrame([("u", 4, True), ("v", 5, True)], "userId string, impoliteCount long, banned boolean")
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    one = moderation.summary(table.mapInArrow(count, table.schema), users).collect()
+    assert [tuple(r) for r in one] == [(3, {"pending": 1, "positive": 2}, 1, 2, 1, 1)] and seen.value == 3
+    none = moderation.summary(table.where("false"), users).collect()
+    assert [tuple(r) for r in none] == [(0, {}, 0, 0, 0, 0)]
