@@ -3,29 +3,36 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.sources.tables import ensure_checkpoint_dir
+
 START, END = "*START*", "*END*"
 
 
 def word_contexts(texts: DataFrame, tokens: Column) -> DataFrame:
     """(word, left, right) with its count, over neighbours inside each text."""
     rows = texts.select(tokens.alias("_t"))
-    spots = F.transform(
-        "_t",
-        lambda w, i: F.struct(
-            w.alias("word"),
-            F.coalesce(F.get(F.col("_t"), i - 1), F.lit(START)).alias("left"),
-            F.coalesce(F.get(F.col("_t"), i + 1), F.lit(END)).alias("right"),
-        ),
-    )
+    # Slices side by side, which generated code builds; a lambda would be interpreted at every word.
+    n = F.size("_t")
+    spots = F.arrays_zip(
+        F.col("_t"),
+        F.slice(F.concat(F.array(F.lit(START)), F.col("_t")), F.lit(1), n),
+        F.slice(F.concat(F.col("_t"), F.array(F.lit(END))), F.lit(2), n),
+    ).cast("array<struct<word:string,left:string,right:string>>")
     return rows.select(F.inline(spots)).groupBy("word", "left", "right").agg(F.count("*").alias("n"))
 
 
+def _own(contexts: DataFrame, word: str, value: Column) -> DataFrame:
+    """The contexts of one word, written to the shared folder once, so that no later step goes through the texts for them."""
+    ensure_checkpoint_dir(contexts.sparkSession)
+    return contexts.where(F.col("word") == word).select("left", "right", value).checkpoint()
+
+
 def similar_words(contexts: DataFrame, word: str, k: int = 20) -> DataFrame:
     """The words that share most contexts with the given one.
 
     Only the contexts of that one word are joined with, never every word with every other.
     """
-    own = contexts.where(F.col("word") == word).select("left", "right", F.col("n").alias("n_own"))
+    own = _own(contexts, word, F.col("n").alias("n_own"))
     shared = contexts.where(F.col("word") != word).join(own, ["left", "right"])
     return (
         shared.groupBy("word")
@@ -37,7 +44,7 @@ def similar_words(contexts: DataFrame, word: str, k: int = 20) -> DataFrame:
 
 def word_similarity(contexts: DataFrame, word: str) -> DataFrame:
     """F-measure of every word's set of contexts against the given word's set."""
-    own = contexts.where(F.col("word") == word).select("left", "right", F.lit(1).alias("hit"))
+    own = _own(contexts, word, F.lit(1).alias("hit"))
     n_own = own.agg(F.count("*")).scalar()
     sets = contexts.join(own, ["left", "right"], "left").groupBy("word").agg(
         F.count("*").alias("n_contexts"), F.count("hit").alias("n_shared")

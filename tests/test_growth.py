@@ -55,6 +55,18 @@ def test_trigrams_are_counted_within_their_text(spark):
     ]
 
 
+def test_contexts_come_from_slices(spark):
+    found = contexts.word_contexts(_texts(spark, "a b", "", "c"), letter_words(F.col("text")))
+    assert "lambda" not in _plan(found)
+    assert {tuple(r) for r in found.collect()} == {("a", "*START*", "b", 1), ("b", "a", "*END*", 1), ("c", "*START*", "*END*", 1)}
+
+
+def test_similar_words_go_through_the_texts_once(spark):
+    found = contexts.word_contexts(_texts(spark, "x the y", "x a y"), letter_words(F.col("text")))
+    assert _plan(contexts.similar_words(found, "the")).count("Generate") == 1
+    assert _plan(contexts.word_similarity(found, "the")).count("Generate") == 1
+
+
 def test_jaro_is_measured_once_a_pair(spark):
     pairs = spark.createDataFrame([("martha", "marhta"), ("dwayne", "duane"), ("a", "a"), ("", "x"), (None, "x")], "a string, b string")
     a, b = F.col("a"), F.col("b")
