@@ -1,6 +1,6 @@
 """Naive Bayes over word presence, as count tables and a sum of logarithms."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: expected-likelihood smoothing adds one half to every count.
@@ -38,15 +38,19 @@ def classify(
 ) -> DataFrame:
     """The likeliest label of every document from its known terms, or from the priors alone; ties by label.
 
-    Sums are decimals, so they do not depend on the order of the terms.
+    Sums are of ten decimals, counted in units of the last one, so they do not depend on the order of the terms.
     """
+
+    def units(log_p: str) -> Column:
+        return (F.col(log_p).cast("decimal(18,10)") * F.lit(10**10).cast("decimal(11,0)")).cast("long")
+
     scores = (
         doc_terms.select(key, "term")
-        .join(likelihoods, "term")
+        .join(likelihoods.select("term", label, units("log_p").alias("_u")), "term")
         .groupBy(key, label)
-        .agg(F.sum(F.col("log_p").cast("decimal(28,10)")).alias("s"))
-        .join(priors, label)
-        .withColumn("score", F.col("s") + F.col("log_prior").cast("decimal(28,10)"))
+        .agg(F.sum("_u").alias("s"))
+        .join(priors.select(label, units("log_prior").alias("_prior")), label)
+        .withColumn("score", F.col("s") + F.col("_prior"))
     )
     best = scores.groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("_s"), label)).alias("best"))
     likeliest = priors.agg(F.min_by(label, F.struct(-F.col("log_prior"), F.col(label)))).scalar()

@@ -237,7 +237,8 @@ def trigram_discount(spark, sf_dir):
 
 
 def _presence(spark, sf_dir):
-    return features.document_terms(_documents(spark, sf_dir), ["doc_id", "lang"], _tokens())
+    """The distinct terms of each document; nobody asks how often, so they need not be counted."""
+    return _documents(spark, sf_dir).select("doc_id", "lang", F.explode(F.array_distinct(_tokens())).alias("term"))
 
 
 def naive_bayes_model(spark, sf_dir):

@@ -77,6 +77,22 @@ def test_jaro_is_measured_once_a_pair(spark):
     ]
 
 
+def test_presence_is_not_counted(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "x", "b a b")], "doc_id int, lang string, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    found = models._presence(spark, str(tmp_path))
+    assert "lambda" not in _plan(found)
+    assert {tuple(r) for r in found.collect()} == {(1, "x", "a"), (1, "x", "b")}
+
+
+def test_bayes_adds_whole_numbers(spark):
+    terms = spark.createDataFrame([(1, "x", "a"), (2, "y", "b")], "k int, lang string, term string")
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x")], "k int, lang string")
+    found = bayes.classify(rows, terms, *bayes.train(terms, rows, "lang"), "k", "lang")
+    assert "sum(_u" in _plan(found)
+    assert {tuple(r) for r in found.collect()} == {(1, "x"), (2, "y"), (3, "x")}
+
+
 def test_word_rows_are_slices(spark):
     rows = valence._word_rows(_texts(spark, "Ab BUT cd but", ""), "doc_id", F.col("text"))
     assert "transform" not in _plan(rows)
