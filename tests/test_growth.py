@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import distances
 from gleanery.functions.tokenize import letter_words
-from gleanery.operators import bayes, contexts, language_id, moderation, normalize, valence
+from gleanery.operators import bayes, contexts, language_id, moderation, normalize, trees, valence
 from gleanery.operators.row_items import item_places
 from gleanery.plans import models, normal
 
@@ -121,3 +121,35 @@ def test_summary_reads_the_reviews_once(spark):
     assert [tuple(r) for r in one] == [(3, {"pending": 1, "positive": 2}, 1, 2, 1, 1)] and seen.value == 3
     none = moderation.summary(table.where("false"), users).collect()
     assert [tuple(r) for r in none] == [(0, {}, 0, 0, 0, 0)]
+
+
+def _plans_of_checkpoints(monkeypatch, spark):
+    plans, kind = [], type(spark.range(0))
+    plain = kind.checkpoint
+    monkeypatch.setattr(kind, "checkpoint", lambda df, *a: (plans.append(_plan(df)), plain(df, *a))[1])
+    return plans
+
+
+def test_terms_meet_their_document_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "ab"[i % 3 > 0]) for i in range(12)] + [(None, "a")], "doc_id int, lang string")
+    found = [(i, t) for i in range(12) for t in (["x"] if i % 3 else ["y", "z"]) + [f"w{i % 2}"]]
+    present = spark.createDataFrame(found, "doc_id int, term string")
+    plans = _plans_of_checkpoints(monkeypatch, spark)
+    tree = trees.grow(present, docs, "doc_id", "lang", 3, 1)
+    assert sum(p.count("Join") for p in plans) == 1
+    assert {(r.node, r.term, r.predicted, r.n, r.errors) for r in tree.collect()} == {
+        (1, "x", "b", 13, 5), (2, None, "a", 5, 0), (3, None, "b", 8, 0)
+    }
+    grown = spark.createDataFrame(tree.collect(), tree.schema)
+    named = trees.classify(grown, present, docs, "doc_id", 3)
+    assert _plan(named).count("Join") == 1
+    assert {(r.doc_id, r.predicted) for r in named.collect()} == {(i, "ab"[i % 3 > 0]) for i in range(12)}
+
+
+def test_rows_of_one_key_share_their_terms(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "b")], "doc_id int, lang string")
+    present = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y"), (3, "y")], "doc_id int, term string")
+    tree = trees.grow(present, docs, "doc_id", "lang", 1, 1)
+    assert {(r.node, r.n) for r in tree.collect() if r.node > 1 and r.predicted == "a"} <= {(2, 2), (3, 4)}
+    got = trees.classify(tree, present, docs, "doc_id", 1)
+    assert {(r.doc_id, r.predicted) for r in got.collect()} == {(1, "a"), (2, "b"), (3, "b")}
