@@ -7,6 +7,7 @@ references.  N-grams are counted per pair with the usual map-side aggregation.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanery.operators.gram_matches import match_counts
 from gleanery.operators.ngrams import everygrams
 
 TINY = 2.2250738585072014e-308
@@ -26,10 +27,7 @@ def _matches(hyps: DataFrame, refs: DataFrame) -> DataFrame:
 
 def bleu(refs: DataFrame, hyps: DataFrame, max_n: int = 4) -> DataFrame:
     """Corpus BLEU with uniform weights: matches and totals are summed before they are divided."""
-    hyp_counts = _counts(hyps, ["pair"], 1, max_n)
-    ref_counts = _counts(refs, ["pair", "ref"], 1, max_n)
-    best = ref_counts.groupBy("pair", "n", "gram").agg(F.max("c").alias("c"))
-    matched = _matches(hyp_counts, best).groupBy("n").agg(F.sum("hit").alias("hit"))
+    matched = match_counts(hyps, refs, 1, max_n, best=True).groupBy("n").agg(F.sum("hit").alias("hit"))
 
     orders = F.array(*[F.lit(n) for n in range(1, max_n + 1)])
     sizes = hyps.select("pair", F.size("tokens").alias("length"), F.explode(orders).alias("n"))

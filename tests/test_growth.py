@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import distances
 from gleanery.functions.tokenize import letter_words
-from gleanery.operators import bayes, contexts, language_id, moderation, normalize, trees, valence
+from gleanery.operators import bayes, contexts, gram_matches, language_id, moderation, normalize, trees, valence
 from gleanery.operators.row_items import item_places
 from gleanery.plans import models, normal
 
@@ -153,3 +153,29 @@ def test_rows_of_one_key_share_their_terms(spark):
     assert {(r.node, r.n) for r in tree.collect() if r.node > 1 and r.predicted == "a"} <= {(2, 2), (3, 4)}
     got = trees.classify(tree, present, docs, "doc_id", 1)
     assert {(r.doc_id, r.predicted) for r in got.collect()} == {(1, "a"), (2, "b"), (3, "b")}
+
+
+def _sides(spark, refs, hyps):
+    return (
+        spark.createDataFrame([(p, r, t.split()) for p, r, t in refs], "pair string, ref long, tokens array<string>"),
+        spark.createDataFrame([(p, t.split()) for p, t in hyps], "pair string, tokens array<string>"),
+    )
+
+
+def test_grams_are_matched_where_a_pair_meets(spark):
+    refs, hyps = _sides(
+        spark,
+        [("p", 1, "a b a"), ("p", 1, "a"), ("p", 2, "a b c"), ("p", None, "c c"), ("q", 1, ""), (None, 1, "a")],
+        [("p", "a b a a"), ("p", "c"), ("q", "a"), (None, "a"), ("r", "a")],
+    )
+    found = gram_matches.match_counts(hyps, refs, 1, 3)
+    assert "gram" not in _plan(found) and _plan(found).count("Generate") == 0
+    assert {tuple(r) for r in found.collect()} == {
+        ("p", 1, 1, 4), ("p", 1, 2, 2), ("p", 1, 3, 1), ("p", 2, 1, 3), ("p", 2, 2, 1), ("p", None, 1, 1)
+    }
+    best = gram_matches.match_counts(hyps, refs, 1, 3, best=True)
+    assert {(r.pair, r.n, r.hit) for r in best.collect()} == {("p", 1, 5), ("p", 2, 2), ("p", 3, 1)}
+    grams = gram_matches.matched_grams(hyps, refs, 2, 3).collect()
+    assert {(r.ref, r.gram.replace(gram_matches.SEPARATOR, " "), r.hit) for r in grams} == {
+        (1, "a b", 1), (1, "b a", 1), (1, "a b a", 1), (2, "a b", 1)
+    }
