@@ -73,8 +73,7 @@ def gleu(refs: DataFrame, hyps: DataFrame, min_n: int = 1, max_n: int = 4) -> Da
         parts = [F.greatest(length - n + 1, F.lit(0)) for n in range(min_n, max_n + 1)]
         return sum(parts[1:], parts[0])
 
-    hit = _matches(_counts(hyps, ["pair"], min_n, max_n), _counts(refs, ["pair", "ref"], min_n, max_n))
-    hits = hit.groupBy("pair", "ref").agg(F.sum("hit").alias("hit"))
+    hits = match_counts(hyps, refs, min_n, max_n).groupBy("pair", "ref").agg(F.sum("hit").alias("hit"))
     both = (
         refs.select("pair", "ref", n_grams(F.size("tokens")).alias("n_ref"))
         .join(hyps.select("pair", n_grams(F.size("tokens")).alias("n_hyp")), "pair")
@@ -101,8 +100,7 @@ def chrf(pairs: DataFrame, min_n: int = 1, max_n: int = 6, beta: float = 3.0, ep
         return pairs.select("pair", letters.alias("tokens"))
 
     refs, hyps = side("reference"), side("hypothesis")
-    hits = _matches(_counts(hyps, ["pair"], min_n, max_n), _counts(refs, ["pair"], min_n, max_n))
-    hits = hits.groupBy("pair", "n").agg(F.sum("hit").alias("tp"))
+    hits = match_counts(hyps, refs.withColumn("ref", F.lit(0)), min_n, max_n).select("pair", "n", F.col("hit").alias("tp"))
     orders = F.array(*[F.lit(n) for n in range(min_n, max_n + 1)])
     sizes = (
         refs.select("pair", F.size("tokens").alias("r"))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions import distances
 from gleanery.functions.tokenize import letter_words
-from gleanery.operators import bayes, contexts, gram_matches, language_id, moderation, normalize, trees, valence
+from gleanery.operators import bayes, contexts, gram_matches, language_id, moderation, normalize, textpairs, trees, valence
 from gleanery.operators.row_items import item_places
 from gleanery.plans import models, normal
 
@@ -179,3 +179,9 @@ def test_grams_are_matched_where_a_pair_meets(spark):
     assert {(r.ref, r.gram.replace(gram_matches.SEPARATOR, " "), r.hit) for r in grams} == {
         (1, "a b", 1), (1, "b a", 1), (1, "a b a", 1), (2, "a b", 1)
     }
+
+
+def test_scores_explode_no_grams(spark):
+    refs, hyps = _sides(spark, [("p", 1, "a b c d"), ("p", 2, "a b")], [("p", "a b c")])
+    for score in (textpairs.bleu, textpairs.gleu):
+        assert "concat_ws" not in _plan(score(refs, hyps))
