@@ -1,30 +1,23 @@
 """Corpus scores of hypotheses against references: BLEU, GLEU, chrF, NIST.
 
 Hypotheses have (pair, tokens), references (pair, ref, tokens); a pair may have several
-references.  N-grams are counted per pair with the usual map-side aggregation.
+references.  The texts of a pair meet in one row, where their n-grams are matched; for NIST, what
+the references hold is counted from windows that are shuffled once.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.operators.gram_matches import match_counts
-from gleanery.operators.ngrams import everygrams
+from gleanery.operators.gram_matches import SEPARATOR, match_counts, matched_grams
+from gleanery.operators.ngrams import side_by_side
 
+# Windows of words a task counts together, by expectation.
+PLACES = 400_000
+# Windows meet by their first words.
+HEAD = 3
 TINY = 2.2250738585072014e-308
 
 
-def _counts(rows: DataFrame, keys: list[str], min_n: int, max_n: int) -> DataFrame:
-    grams = everygrams(rows, F.col("tokens"), min_n, max_n, keys)
-    return grams.groupBy(*keys, "n", "gram").agg(F.count("*").alias("c"))
-
-
-def _matches(hyps: DataFrame, refs: DataFrame) -> DataFrame:
-    """Clipped matches per pair, reference and order; zero where nothing matches."""
-    return hyps.join(refs.withColumnRenamed("c", "c_ref"), ["pair", "n", "gram"]).withColumn(
-        "hit", F.least("c", "c_ref")
-    )
-
-
 def bleu(refs: DataFrame, hyps: DataFrame, max_n: int = 4) -> DataFrame:
     """Corpus BLEU with uniform weights: matches and totals are summed before they are divided."""
     matched = match_counts(hyps, refs, 1, max_n, best=True).groupBy("n").agg(F.sum("hit").alias("hit"))
@@ -119,20 +112,65 @@ def chrf(pairs: DataFrame, min_n: int = 1, max_n: int = 6, beta: float = 3.0, ep
     return per.agg((F.sum(f.cast("decimal(28,18)")).cast("double") / F.count("*")).alias("chrf"))
 
 
+def _first(gram: str, n: int) -> Column:
+    return F.substring_index(gram, SEPARATOR, n)
+
+
+def _frequency(refs: DataFrame, wanted: DataFrame, n_words: int, max_n: int) -> DataFrame:
+    """n, gram, f: how often the references hold each wanted gram, and all grams of fewer than `HEAD` words.
+
+    Each place gives one window of up to `max_n` words, which holds its grams of all orders. Windows meet the wanted grams that
+    begin as they do, in as many parts as there are words for, and only what is wanted leaves its part.
+    """
+    rows = refs.select(F.col("tokens").alias("_t"))
+    spots = rows.select(F.inline(side_by_side(F.greatest(F.size("_t"), F.lit(0)), tuple(range(max_n)))))
+    words = F.concat_ws(SEPARATOR, *[f"w{j + 1}" for j in range(max_n)])
+    size = sum([F.col(f"w{j + 1}").isNotNull().cast("int") for j in range(max_n)], F.lit(0))
+    windows = spots.select(words.alias("gram"), size.alias("n"), F.lit(False).alias("wanted"))
+    asked = wanted.where(F.col("n") >= HEAD).select("gram", "n", F.lit(True).alias("wanted"))
+    parts = max(1, -(-(n_words or 0) // PLACES))
+    met = windows.unionByName(asked).withColumn("head", _first("gram", HEAD)).repartition(parts, "head")
+
+    def held(orders: list[int]) -> Column:
+        grams = [F.struct(F.lit(k).alias("n"), F.when(F.col("n") >= k, _first("gram", k)).alias("gram")) for k in orders]
+        return F.array(*grams)
+
+    short = (
+        met.where("NOT wanted")
+        .select(F.inline(held(list(range(1, min(HEAD, max_n + 1))))))
+        .where("gram IS NOT NULL")
+        .groupBy("n", "gram")
+        .agg(F.count("*").alias("f"))
+    )
+    if max_n < HEAD:
+        return short
+    whole = F.array(F.struct("n", "gram"))
+    grams = met.select("head", "wanted", F.inline(F.when(F.col("wanted"), whole).otherwise(held(list(range(HEAD, max_n + 1))))))
+    long = (
+        grams.where("gram IS NOT NULL")
+        .groupBy("head", "n", "gram")
+        .agg(F.count(F.when(~F.col("wanted"), 1)).alias("f"), F.bool_or("wanted").alias("wanted"))
+        .where("wanted AND f > 0")
+    )
+    return short.unionByName(long.select("n", "gram", "f"))
+
+
 def nist(refs: DataFrame, hyps: DataFrame, max_n: int = 5) -> DataFrame:
     """Matches weighted by how informative they are in the references."""
-    ref_counts = _counts(refs, ["pair", "ref"], 1, max_n)
-    frequency = ref_counts.groupBy("n", "gram").agg(F.sum("c").alias("f"))
-    n_words = refs.agg(F.sum(F.size("tokens"))).scalar()
-    prefix = F.regexp_replace("gram", " [^ ]*$", "")
+    hits = matched_grams(hyps, refs, 1, max_n)
+    n_words = refs.agg(F.sum(F.size("tokens"))).first()[0]
+    prefix = F.when(F.col("n") > 1, F.regexp_replace("gram", f"{SEPARATOR}[^{SEPARATOR}]*$", ""))
+    grams = hits.select("n", "gram").distinct()
+    wanted = grams.unionByName(grams.where("n > 1").select((F.col("n") - 1).alias("n"), prefix.alias("gram"))).distinct()
+    frequency = _frequency(refs, wanted, n_words, max_n)
     shorter = frequency.select((F.col("n") + 1).alias("n"), F.col("gram").alias("prefix"), F.col("f").alias("f_prefix"))
     info = (
-        frequency.withColumn("prefix", F.when(F.col("n") > 1, prefix))
+        grams.join(frequency, ["n", "gram"])
+        .withColumn("prefix", prefix)
         .join(shorter, ["n", "prefix"], "left")
-        .withColumn("words", n_words)
-        .select("n", "gram", F.log2(F.coalesce("f_prefix", "words") / F.col("f")).alias("info"))
+        .select("n", "gram", F.log2(F.coalesce("f_prefix", F.lit(n_words)) / F.col("f")).alias("info"))
     )
-    hit = _matches(_counts(hyps, ["pair"], 1, max_n), ref_counts).join(info, ["n", "gram"])
+    hit = hits.join(info, ["n", "gram"])
     per_ref = hit.groupBy("pair", "ref", "n").agg(
         F.sum((F.col("info") * F.col("hit")).cast("decimal(28,10)")).alias("num")
     )

@@ -185,3 +185,14 @@ def test_scores_explode_no_grams(spark):
     refs, hyps = _sides(spark, [("p", 1, "a b c d"), ("p", 2, "a b")], [("p", "a b c")])
     for score in (textpairs.bleu, textpairs.gleu):
         assert "concat_ws" not in _plan(score(refs, hyps))
+
+
+def test_windows_give_the_frequency_of_every_order(spark):
+    refs, _ = _sides(spark, [("p", 1, "a b c d a b c"), ("q", 1, "a b c"), (None, 1, "a b c e"), ("r", 1, "")], [])
+    spelled = lambda text: text.replace(" ", gram_matches.SEPARATOR)
+    wanted = spark.createDataFrame([(3, spelled("a b c")), (4, spelled("a b c d")), (3, spelled("x y z"))], "n int, gram string")
+    found = textpairs._frequency(refs, wanted, 14, 5)
+    assert {(r.n, r.gram.replace(gram_matches.SEPARATOR, " "), r.f) for r in found.collect()} == {
+        (1, "a", 4), (1, "b", 4), (1, "c", 4), (1, "d", 1), (1, "e", 1), (3, "a b c", 4), (4, "a b c d", 1),
+        (2, "a b", 4), (2, "b c", 4), (2, "c d", 1), (2, "d a", 1), (2, "c e", 1),
+    }
