@@ -1,12 +1,17 @@
 """Steps that once cost too much for each word: they keep their rows, and are no longer interpreted or run twice."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from gleanery.functions import distances
 from gleanery.functions.tokenize import letter_words
-from gleanery.operators import bayes, contexts, gram_matches, language_id, moderation, normalize, textpairs, trees, valence
+from gleanery.operators import (
+    bayes, collocations, contexts, frequent_grams, gram_matches, language_id, moderation, normalize, textpairs, trees, valence, word_blocks,
+)
 from gleanery.operators.row_items import item_places
-from gleanery.plans import models, normal
+from gleanery.plans import corpus, models, normal
 
 
 def _plan(df):
@@ -196,3 +201,44 @@ def test_windows_give_the_frequency_of_every_order(spark):
         (1, "a", 4), (1, "b", 4), (1, "c", 4), (1, "d", 1), (1, "e", 1), (3, "a b c", 4), (4, "a b c d", 1),
         (2, "a b", 4), (2, "b c", 4), (2, "c d", 1), (2, "d a", 1), (2, "c e", 1),
     }
+
+
+@pytest.fixture(scope="module")
+def babble(spark):
+    """Texts of frequent and of rare words, of which some hold a rare word between frequent ones only."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("aabc") if rng.random() < 0.8 else "w" + "xyz"[rng.randrange(3)] * rng.randrange(1, 9) for _ in range(rng.randrange(40))) for _ in range(50)]
+    return _texts(spark, *texts, "a a r a a", "a a r a a", "", None, "a", "q q q q q q").repartition(3)
+
+
+def _same_grams(babble, made, n, window, least, monkeypatch):
+    tokens = letter_words(F.col("text"))
+    every = made(babble, tokens, window).where(F.col("count") >= least)
+    for size, rows in ((1_000_000, 2_000_000), (60, 200)):
+        monkeypatch.setattr(word_blocks, "TOKENS", size)
+        monkeypatch.setattr(frequent_grams, "ROWS", rows)
+        some = made(babble, tokens, window, min_count=least)
+        assert some.dtypes == every.select(some.columns).dtypes and some.columns[: n + 2] == every.columns[: n + 2]
+        found = {tuple(r) for r in some.collect()}
+        assert found and found == {tuple(r) for r in every.select(some.columns).collect()}
+
+
+def test_numbers_pass_for_bytes():
+    import numpy as np
+
+    for values in (np.array([], np.int32), np.array([-1, 0, 1 << 30], np.int32)):
+        assert (word_blocks.unpacked(word_blocks.packed(values)) == values).all()
+    assert (word_blocks.unpacked(word_blocks.packed(np.array([0.5, -1e300])), np.float64) == [0.5, -1e300]).all()
+
+
+@pytest.mark.parametrize("window, least", [(4, 3), (6, 5)])
+def test_frequent_quadgrams_are_counted_by_numbers(babble, monkeypatch, window, least):
+    _same_grams(babble, collocations.quadgrams, 4, window, least, monkeypatch)
+
+
+def test_no_words_leave_the_blocks_of_quadgrams(spark, tmp_path, monkeypatch):
+    _texts(spark, *["a b c d e"] * 3, None).write.parquet(f"{tmp_path}/documents.parquet")
+    plans = _plans_of_checkpoints(monkeypatch, spark)
+    found = corpus.quadgram_collocations(spark, str(tmp_path))
+    assert plans and not any("Aggregate [w1" in p for p in [*plans, _plan(found)])
+    assert {(r.w1, r.w2, r.w3, r.w4, r["count"]) for r in found.collect()} == {("a", "b", "c", "d", 3), ("b", "c", "d", "e", 3)}
