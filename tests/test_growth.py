@@ -242,3 +242,16 @@ def test_no_words_leave_the_blocks_of_quadgrams(spark, tmp_path, monkeypatch):
     found = corpus.quadgram_collocations(spark, str(tmp_path))
     assert plans and not any("Aggregate [w1" in p for p in [*plans, _plan(found)])
     assert {(r.w1, r.w2, r.w3, r.w4, r["count"]) for r in found.collect()} == {("a", "b", "c", "d", 3), ("b", "c", "d", "e", 3)}
+
+
+@pytest.mark.parametrize("window, least", [(4, 4), (5, 5)])
+def test_a_word_may_be_rarer_than_its_triple(babble, monkeypatch, window, least):
+    _same_grams(babble, collocations.trigrams, 3, window, least, monkeypatch)
+
+
+def test_no_words_leave_the_blocks_of_triples_in_a_window(spark, tmp_path, monkeypatch):
+    _texts(spark, *["a a r a a"] * 2, None).write.parquet(f"{tmp_path}/documents.parquet")
+    plans = _plans_of_checkpoints(monkeypatch, spark)
+    found = corpus.trigram_window(spark, str(tmp_path))
+    assert plans and not any("Aggregate [w1" in p for p in [*plans, _plan(found)])
+    assert ("a", "r", "a", 6) in {(r.w1, r.w2, r.w3, r["count"]) for r in found.collect()}
