@@ -255,3 +255,11 @@ def test_no_words_leave_the_blocks_of_triples_in_a_window(spark, tmp_path, monke
     found = corpus.trigram_window(spark, str(tmp_path))
     assert plans and not any("Aggregate [w1" in p for p in [*plans, _plan(found)])
     assert ("a", "r", "a", 6) in {(r.w1, r.w2, r.w3, r["count"]) for r in found.collect()}
+
+
+def test_no_words_leave_the_blocks_of_triples(spark, tmp_path, monkeypatch):
+    _texts(spark, *["a b c d"] * 3, None).write.parquet(f"{tmp_path}/documents.parquet")
+    plans = _plans_of_checkpoints(monkeypatch, spark)
+    found = corpus.trigram_collocations(spark, str(tmp_path))
+    assert plans and not any("Aggregate [w1" in p for p in [*plans, _plan(found)])
+    assert {(r.w1, r.w2, r.w3, r["count"]) for r in found.collect()} == {("a", "b", "c", 3), ("b", "c", "d", 3)}
