@@ -263,3 +263,52 @@ def test_no_words_leave_the_blocks_of_triples(spark, tmp_path, monkeypatch):
     found = corpus.trigram_collocations(spark, str(tmp_path))
     assert plans and not any("Aggregate [w1" in p for p in [*plans, _plan(found)])
     assert {(r.w1, r.w2, r.w3, r["count"]) for r in found.collect()} == {("a", "b", "c", 3), ("b", "c", "d", 3)}
+
+
+def _normal_models(spark):
+    return {
+        "tag_model": spark.createDataFrame([("Dogs", "NNS"), ("ran", "VBD")], "word string, tag string"),
+        "lemma_table": spark.createDataFrame([("dog", "n"), ("run", "v")], "lemma string, pos string"),
+        "exceptions": spark.createDataFrame([("ran", "v", "run")], "word string, pos string, lemma string"),
+        "stop_words": spark.createDataFrame([("the",)], "word string"),
+    }
+
+
+@pytest.mark.parametrize("size", [1_000_000, 6])
+def test_tokens_meet_their_forms_once_a_block(spark, monkeypatch, size):
+    rows = [(1, "The dogs ran, the dog 4 ran"), (2, "Dogs dogs"), (2, "the ran ran"), (None, "dogs"), (3, None), (4, "The 4!")]
+    docs = spark.createDataFrame(rows, "id int, text string").repartition(2)
+    monkeypatch.setattr(word_blocks, "TOKENS", size)
+    plans = _plans_of_checkpoints(monkeypatch, spark)
+    found = normalize.normalized(docs, "id", **_normal_models(spark))
+    # Neither what is written nor what is joined has a row for each token of a text.
+    assert len(plans) == 1 and "Generate" not in plans[0] and "FlatMapCoGroupsInArrow" in _plan(found) and "array<array" not in _plan(found)
+    assert sorted((r.id or 0, r.tokens) for r in found.collect()) == [
+        (0, []), (1, ["dog", "run", "dog", "run"]), (2, ["dog", "dog", "run", "run"]), (2, ["dog", "dog", "run", "run"]), (3, []), (4, [])
+    ]
+
+
+def test_texts_of_different_keys_are_not_grouped(spark):
+    docs = spark.createDataFrame([(1, "The dogs ran"), (None, "dogs"), (None, "ran"), (3, None)], "id int, text string")
+    found = normalize.normalized(docs, "id", **_normal_models(spark))
+    assert "collect_list" not in _plan(found)
+    assert sorted((r.id or 0, r.tokens) for r in found.collect()) == [(0, []), (0, []), (1, ["dog", "run"]), (3, [])]
+
+
+def test_words_are_counted_by_the_word_before(spark):
+    packs = word_blocks.unstored(_texts(spark, "the a a", "the", "", None, "a the a b"), letter_words(F.col("text")))
+    found = word_blocks.counts_after(packs, ["the"]).collect()
+    assert {tuple(r) for r in found} == {("a", 4, 2, 2, 2, 2), ("the", 3, 0, 3, 0, 3), ("b", 1, 0, 1, 0, 1)}
+
+
+@pytest.mark.parametrize("ids", [[1, 2, 3, 4], [1, 1, None, None], [1, 2, 2, None]])
+def test_lemmas_are_known_without_a_row_for_each_word_of_a_text(spark, tmp_path, ids, monkeypatch):
+    monkeypatch.setattr(normal, "MIN_LEMMA_DF", 2)
+    texts = ["the chanted chanted le", "chanted the chanted simple", "le simple simple", "simple chanted"]
+    spark.createDataFrame(list(zip(ids, texts)), "doc_id int, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    made, tagged = normal._models(spark, str(tmp_path)), normal._tagged(spark, str(tmp_path))
+    rows = {(r.doc_id, r.word, {"N": "n", "V": "v", "J": "a", "R": "r"}[r.tag[0]]) for r in tagged.collect()}
+    wanted = {(w, p) for _, w, p in rows if sum((w, p) == (v, q) for _, v, q in rows) > 1}
+    assert {tuple(r) for r in made["lemma_table"].collect()} == wanted
+    assert {tuple(r) for r in made["tag_model"].collect()} == {tuple(r) for r in normal.tagging.train_unigram(tagged, cutoff=1).collect()}
+    assert ("doc_id" in _plan(made["lemma_table"])) == (len(set(ids)) < 4)
