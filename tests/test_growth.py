@@ -312,3 +312,15 @@ def test_lemmas_are_known_without_a_row_for_each_word_of_a_text(spark, tmp_path,
     assert {tuple(r) for r in made["lemma_table"].collect()} == wanted
     assert {tuple(r) for r in made["tag_model"].collect()} == {tuple(r) for r in normal.tagging.train_unigram(tagged, cutoff=1).collect()}
     assert ("doc_id" in _plan(made["lemma_table"])) == (len(set(ids)) < 4)
+
+
+def test_streamed_reviews_are_written_compressed(spark, tmp_path, monkeypatch):
+    rows = [(1, "Dogs ran\nfast", "le", "s", 13)] * 2 + [(2, None, "le", None, 0)]
+    spark.createDataFrame(rows, normal.DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(normal, "shared_dir", lambda spark: str(tmp_path))
+    found = normal.stream_processed_reviews(spark, str(tmp_path))
+    written = [str(p) for p in tmp_path.glob("processed-*/processed/*/part-*")]
+    assert written and all(p.endswith(".json.gz") for p in written)
+    assert [(r.reviewId, r.category, r.overall, r.tokens) for r in found.orderBy("reviewId").collect()] == [
+        ("devset-000001", "s", 2.0, "dogs ran dogs ran fast"), ("devset-000002", None, 3.0, "")
+    ]
