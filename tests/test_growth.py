@@ -314,6 +314,17 @@ def test_lemmas_are_known_without_a_row_for_each_word_of_a_text(spark, tmp_path,
     assert ("doc_id" in _plan(made["lemma_table"])) == (len(set(ids)) < 4)
 
 
+def test_processed_reviews_move_no_row_for_each_token(spark, tmp_path, monkeypatch):
+    rows = [(1, "s", "le", "Dogs ran\nfast"), (2, None, "le", None), (3, "s", "le", "dogs")]
+    spark.createDataFrame(rows, "doc_id long, source string, lang string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    plans = _plans_of_checkpoints(monkeypatch, spark)
+    found = normal.processed_reviews(spark, str(tmp_path))
+    assert plans and not any("places" in p and "LeftAnti" in p for p in plans)
+    assert [(r.reviewId, r.category, r.tokens) for r in found.orderBy("reviewId").collect()] == [
+        ("devset-000001", "s", "dogs ran dogs ran fast"), ("devset-000002", None, ""), ("devset-000003", "s", "dogs dogs")
+    ]
+
+
 def test_streamed_reviews_are_written_compressed(spark, tmp_path, monkeypatch):
     rows = [(1, "Dogs ran\nfast", "le", "s", 13)] * 2 + [(2, None, "le", None, 0)]
     spark.createDataFrame(rows, normal.DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
