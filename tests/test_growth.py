@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanery.functions import distances
 from gleanery.functions.tokenize import letter_words
 from gleanery.operators import (
-    bayes, collocations, contexts, frequent_grams, gram_matches, language_id, moderation, normalize, textpairs, trees, valence, word_blocks,
+    bayes, collocations, contexts, frequent_grams, gram_matches, language_id, maxent, moderation, normalize, textpairs, trees, valence, word_blocks,
 )
 from gleanery.operators.row_items import item_places
 from gleanery.plans import corpus, models, normal
@@ -335,3 +335,22 @@ def test_streamed_reviews_are_written_compressed(spark, tmp_path, monkeypatch):
     assert [(r.reviewId, r.category, r.overall, r.tokens) for r in found.orderBy("reviewId").collect()] == [
         ("devset-000001", "s", 2.0, "dogs ran dogs ran fast"), ("devset-000002", None, 3.0, "")
     ]
+
+
+def test_a_round_moves_one_row_for_a_share_and_a_block(spark, monkeypatch):
+    rows = [(i, "ab"[i % 3 > 0]) for i in range(30)] + [(3, "a"), (None, "a"), (40, None)]
+    docs = spark.createDataFrame(rows, "doc_id int, lang string")
+    found = [(i, c, t) for i, c in rows if i != 7 for t in (f"w{(i or 0) % 5}", f"v{(i or 0) % 7}", c, None)]
+    present = spark.createDataFrame(found, "doc_id int, lang string, term string")
+    whole = maxent.train(present, docs, "doc_id", "lang", 3)
+    one = {(r.term, r.label): r.weight for r in whole.weights.collect()}
+    guessed = sorted(maxent.classify(whole, present, docs, "doc_id").collect(), key=str)
+    assert len(guessed) == 32 and {r.predicted for r in guessed if r.doc_id == 3} == {"a"}
+    monkeypatch.setattr(maxent, "BLOCK", 30)
+    monkeypatch.setattr(maxent, "LINKS", 9)
+    plans = _plans_of_checkpoints(monkeypatch, spark)
+    model = maxent.train(present, docs, "doc_id", "lang", 3)
+    assert sum("FlatMapCoGroups" in p or "CoGroup" in p for p in plans[-3:]) == 3
+    assert not any(word in p for p in plans[-3:] for word in ("Generate", "Join", "Aggregate"))
+    assert {(r.term, r.label): r.weight for r in model.weights.collect()} == pytest.approx(one)
+    assert sorted(maxent.classify(model, present, docs, "doc_id").collect(), key=str) == guessed
